@@ -96,3 +96,45 @@ def source_counts(spark, sf_dir):
     return s.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("src_file").alias("n_files"),
         F.min("ingest_date").alias("first_ingest"), F.max("ingest_date").alias("last_ingest"))
+
+
+# --- serving: documents and upsert -----------------------------------------
+
+def _docs(spark, sf_dir):
+    from eventlake.operators.serve import build_documents, normalise_rows
+    first, second = standins.gold_export_rows(spark, sf_dir)
+    k1, k2 = standins.GOLD_EXPORT_KEYS
+    return (build_documents(normalise_rows(first), k1),
+            build_documents(normalise_rows(second), k2))
+
+
+_DOCS_SQL = O.docs_cte(*standins.GOLD_EXPORT_KEYS)
+
+
+@register("doc_id_md5", O.with_(_DOCS_SQL, "SELECT * FROM d1"))
+def doc_id_md5(spark, sf_dir):
+    """S8/P3 header + value normalising, P12 alias pick, X18 md5 key, P13 nested doc."""
+    from eventlake.operators.serve import flatten_documents
+    apply_defaults(spark)
+    return flatten_documents(_docs(spark, sf_dir)[0])
+
+
+@register("upsert_documents", O.with_(_DOCS_SQL, "SELECT * FROM merged"))
+def upsert_documents(spark, sf_dir):
+    """K8/J3 keyed upsert of the second export into the first (B14 survivor pick)."""
+    from eventlake.operators.serve import batch_survivors, flatten_documents, upsert
+    apply_defaults(spark)
+    d1, d2 = _docs(spark, sf_dir)
+    return flatten_documents(upsert(batch_survivors(d1), d2))
+
+
+@register("upsert_counts", O.with_(_DOCS_SQL, """
+SELECT (SELECT count(*) FROM d2) AS n_batch_rows, count(*) AS n_keys,
+       count(t._id) AS n_updates, count(*) - count(t._id) AS n_inserts
+FROM (SELECT DISTINCT _id FROM d2) k LEFT JOIN tgt t ON k._id = t._id"""))
+def upsert_counts(spark, sf_dir):
+    """A1 counts of an upsert: batch rows, keys, updates, inserts (F3: 0 rows -> 0)."""
+    from eventlake.operators.serve import batch_survivors, upsert_stats
+    apply_defaults(spark)
+    d1, d2 = _docs(spark, sf_dir)
+    return upsert_stats(batch_survivors(d1), d2)

@@ -173,3 +173,59 @@ gold AS (
 
 def with_(cte: str, body: str) -> str:
     return "WITH " + cte.strip() + "\n" + body
+
+
+# --- documents / upsert -----------------------------------------------------
+
+def _export_rows(cond: str, venue: str, key: str) -> str:
+    return f"""
+  SELECT trim(o_orderpriority) AS nome, {venue} AS local, n_name AS cidade,
+         strftime(o_orderdate, '%d/%m/%Y') AS data,
+         lpad(CAST(o_custkey % 24 AS VARCHAR), 2, '0') || ':00' AS hora,
+         COALESCE(NULLIF(CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderstatus END, ''),
+                  'sympla') AS origem,
+         '{key}' AS source_key
+  FROM ox WHERE {cond}"""
+
+
+def _docs(src: str) -> str:
+    return f"""
+  SELECT md5(COALESCE(nome, '') || '|' || COALESCE(data, '') || '|' || COALESCE(hora, '') || '|'
+             || COALESCE(cidade, '') || '|' || COALESCE(origem, '')) AS _id,
+         nome, data, hora AS hora_local, cidade AS lugar_cidade, local AS lugar_venue,
+         CAST(NULL AS VARCHAR) AS lugar_estado, origem, source_key
+  FROM {src}"""
+
+
+def _survivors(src: str) -> str:
+    return f"""
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY _id ORDER BY source_key DESC NULLS LAST,
+                                 lugar_venue ASC NULLS LAST) AS rn
+    FROM {src}) WHERE rn = 1"""
+
+
+def docs_cte(k1: str, k2: str) -> str:
+    return f"""
+ox AS (
+  SELECT o.*, c.c_mktsegment, n.n_name FROM orders o
+  JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+),
+f1 AS ({_export_rows("o_orderdate < TIMESTAMP '1999-01-01'", 'c_mktsegment', k1)}),
+f2 AS ({_export_rows("o_orderdate >= TIMESTAMP '1998-01-01'", 'lower(c_mktsegment)', k2)}),
+d1 AS ({_docs('f1')}),
+d2 AS ({_docs('f2')}),
+tgt AS ({_survivors('d1')}),
+bat AS ({_survivors('d2')}),
+merged AS (
+  SELECT COALESCE(b._id, t._id) AS _id,
+         CASE WHEN b._id IS NOT NULL THEN b.nome ELSE t.nome END AS nome,
+         CASE WHEN b._id IS NOT NULL THEN b.data ELSE t.data END AS data,
+         CASE WHEN b._id IS NOT NULL THEN b.hora_local ELSE t.hora_local END AS hora_local,
+         CASE WHEN b._id IS NOT NULL THEN b.origem ELSE t.origem END AS origem,
+         CASE WHEN b._id IS NOT NULL THEN b.source_key ELSE t.source_key END AS source_key,
+         CASE WHEN b._id IS NOT NULL THEN b.lugar_cidade ELSE t.lugar_cidade END AS lugar_cidade,
+         CASE WHEN b._id IS NOT NULL THEN b.lugar_venue ELSE t.lugar_venue END AS lugar_venue,
+         CAST(NULL AS VARCHAR) AS lugar_estado
+  FROM tgt t FULL OUTER JOIN bat b ON t._id = b._id
+)"""

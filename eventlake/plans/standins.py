@@ -130,3 +130,39 @@ def bronze_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.concat(F.col("n_name"), F.lit(" - Sp")).alias("location"), c_date.alias("date"),
         c_file.alias("src_file"))
     return {"sympla": sympla, "ticket360": ticket360, "eventim": eventim}
+
+
+# Exported gold rows (display headers) -------------------------------------
+
+GOLD_EXPORT_KEYS = ("gold/eventos_padronizados_20250101_000000.csv",
+                    "gold/eventos_padronizados_20250201_000000.csv")
+
+
+def gold_export_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two exported gold files as rows with the display headers (padded with
+    spaces, as a hand-edited CSV would be): orders before 1999 form the first,
+    orders from 1998 on the second, so 1998 events are re-published with a
+    changed venue."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
+                                              "o_orderpriority", "o_orderstatus")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    rows = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+
+    def shape(df, venue):
+        return df.select(
+            F.concat(F.lit(" "), F.col("o_orderpriority")).alias(" Nome do evento"),
+            venue.alias("local"),
+            F.col("n_name").alias("Cidade "),
+            F.date_format("o_orderdate", "dd/MM/yyyy").alias("evento (formato dd/mm/yyyy)"),
+            F.concat(_two(F.pmod("o_custkey", F.lit(24))), F.lit(":00"))
+             .alias("hora do evento (horário do brasil)"),
+            F.when(F.col("o_orderstatus") == "P", F.lit(""))
+             .otherwise(F.col("o_orderstatus")).alias("origem"),
+            F.lit("sympla").alias("source"))
+
+    first = shape(rows.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp")),
+                  F.col("c_mktsegment"))
+    second = shape(rows.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp")),
+                   F.lower("c_mktsegment"))
+    return first, second
