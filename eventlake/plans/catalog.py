@@ -138,3 +138,98 @@ def upsert_counts(spark, sf_dir):
     apply_defaults(spark)
     d1, d2 = _docs(spark, sf_dir)
     return upsert_stats(batch_survivors(d1), d2)
+
+
+# --- clients, labels, routes, enrichment ------------------------------------
+
+def _purchases(spark, sf_dir):
+    apply_defaults(spark)
+    return standins.purchases(spark, sf_dir)
+
+
+def _as_of(purchases) -> str:
+    return str(purchases.agg(F.max(F.to_date("purchased_at"))).first()[0])
+
+
+def _dates_to_str(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) if t == "date" else F.col(c)
+                       for c, t in df.dtypes])
+
+
+@register("client_totals", O.with_(O.FEATURES_CTE, """
+SELECT client_id, qtd_compras, gmv_total, first_purchase, last_purchase FROM features"""))
+def client_totals_q(spark, sf_dir):
+    """A4 per-client purchase count, exact GMV, first/last purchase."""
+    from eventlake.operators.clients import client_totals
+    return _dates_to_str(client_totals(_purchases(spark, sf_dir)))
+
+
+@register("client_features", O.with_(O.FEATURES_CTE, "SELECT * FROM features"))
+def client_features_q(spark, sf_dir):
+    """A8 features + G1/G2 segments + modal route per client."""
+    from eventlake.operators.clients import client_features
+    p = _purchases(spark, sf_dir)
+    return _dates_to_str(client_features(p, _as_of(p)))
+
+
+@register("seg_recorrencia", O.with_(O.FEATURES_CTE, """
+SELECT seg_recorrencia, count(*) AS n_clients FROM features GROUP BY seg_recorrencia"""))
+def seg_recorrencia_q(spark, sf_dir):
+    """G1 recurrence segment distribution (A2/O3 value counts)."""
+    from eventlake.operators.clients import client_features, value_counts
+    p = _purchases(spark, sf_dir)
+    return value_counts(client_features(p, _as_of(p)), "seg_recorrencia")
+
+
+@register("seg_velocidade", O.with_(O.FEATURES_CTE, """
+SELECT seg_velocidade, count(*) AS n_clients FROM features GROUP BY seg_velocidade"""))
+def seg_velocidade_q(spark, sf_dir):
+    """G2 speed segment distribution (A2/O3 value counts)."""
+    from eventlake.operators.clients import client_features, value_counts
+    p = _purchases(spark, sf_dir)
+    return value_counts(client_features(p, _as_of(p)), "seg_velocidade")
+
+
+@register("client_ids", O.with_(O.FEATURES_CTE, "SELECT * FROM ids"))
+def client_ids_q(spark, sf_dir):
+    """J4 stable sequential client ids (distributed ranking)."""
+    from eventlake.operators.clients import assign_ids
+    return assign_ids(_purchases(spark, sf_dir), "client_id")
+
+
+def clients_final(spark, sf_dir) -> DataFrame:
+    """K12 final client table: ids + features + segments."""
+    from eventlake.operators.clients import assign_ids, client_features
+    p = _purchases(spark, sf_dir)
+    ids = assign_ids(p, "client_id")
+    return ids.join(client_features(p, _as_of(p)), "client_id")
+
+
+@register("client_profile", O.with_(O.FEATURES_CTE, """,
+final AS (SELECT i.client_id_seq, f.* FROM ids i JOIN features f ON i.client_id = f.client_id)
+SELECT count(*) AS n_rows, 14 AS n_columns,
+       'client_id,client_id_seq,qtd_compras,gmv_total,first_purchase,last_purchase,ticket_medio,tenure_days,mean_gap_days,recency_days,weekend_share,seg_recorrencia,seg_velocidade,modal_route' AS columns,
+       count(DISTINCT client_id_seq) AS n_clients,
+       CAST(sum(CAST(gmv_total * 100 AS BIGINT)) AS DOUBLE) / count(gmv_total) / 100 AS gmv_total_mean,
+       median(CAST(gmv_total * 100 AS BIGINT)) / 100.0 AS gmv_total_median,
+       CAST(sum(qtd_compras) AS DOUBLE) / count(qtd_compras) AS qtd_compras_mean
+FROM final"""))
+def client_profile_q(spark, sf_dir):
+    """G3 profile: A7 shape/columns, A6 distinct clients, A3 GMV mean + exact median."""
+    from eventlake.operators.clients import client_profile
+    return client_profile(clients_final(spark, sf_dir))
+
+
+@register("label_7_30", O.with_(O.SEQ_CTE, """
+SELECT client_id, purchase_id, CAST(d AS VARCHAR) AS purchase_date,
+       CAST(next_d AS VARCHAR) AS next_purchase_date, date_diff('day', d, next_d) AS days_to_next,
+       CASE WHEN next_d IS NOT NULL AND date_diff('day', d, next_d) <= 7 THEN 1
+            WHEN d + INTERVAL 7 DAY <= (SELECT as_of FROM as_of) THEN 0 END AS label_7d,
+       CASE WHEN next_d IS NOT NULL AND date_diff('day', d, next_d) <= 30 THEN 1
+            WHEN d + INTERVAL 30 DAY <= (SELECT as_of FROM as_of) THEN 0 END AS label_30d
+FROM seq"""))
+def label_7_30(spark, sf_dir):
+    """L1 buy-again-within-7/30-days labels per purchase, censored at the data end."""
+    from eventlake.operators.labels import next_purchase_labels
+    p = _purchases(spark, sf_dir)
+    return _dates_to_str(next_purchase_labels(p, _as_of(p)))

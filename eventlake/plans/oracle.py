@@ -229,3 +229,109 @@ merged AS (
          CAST(NULL AS VARCHAR) AS lugar_estado
   FROM tgt t FULL OUTER JOIN bat b ON t._id = b._id
 )"""
+
+
+# --- purchases / clients ------------------------------------------------------
+
+PURCHASES_CTE = """
+fl AS (
+  SELECT l_orderkey, l_suppkey FROM (
+    SELECT l_orderkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey
+           ORDER BY l_linenumber, l_suppkey, l_partkey) AS rn FROM lineitem) WHERE rn = 1
+),
+dest AS (
+  SELECT fl.l_orderkey, n.n_name AS destination FROM fl
+  JOIN supplier s ON fl.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
+),
+purchases AS (
+  SELECT 'cliente_' || CAST(o.o_custkey AS VARCHAR) AS client_id, o.o_orderkey AS purchase_id,
+         CAST(o.o_orderdate AS TIMESTAMP) AS purchased_at,
+         CAST(o.o_totalprice AS DECIMAL(18,2)) AS gmv, n.n_name AS origin, d.destination,
+         CAST(o.o_orderdate AS DATE) AS d,
+         CASE WHEN n.n_name IS NOT NULL AND d.destination IS NOT NULL
+              THEN n.n_name || ' -> ' || d.destination END AS route
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN dest d ON d.l_orderkey = o.o_orderkey
+),
+as_of AS (SELECT max(d) AS as_of FROM purchases)"""
+
+FEATURES_CTE = PURCHASES_CTE + """,
+modal AS (
+  SELECT client_id, route AS modal_route FROM (
+    SELECT client_id, route, row_number() OVER (PARTITION BY client_id
+           ORDER BY count(*) DESC, route ASC) AS rn
+    FROM purchases WHERE route IS NOT NULL GROUP BY client_id, route) WHERE rn = 1
+),
+agg AS (
+  SELECT client_id, count(*) AS qtd_compras, CAST(sum(gmv) AS DECIMAL(18,2)) AS gmv_total,
+         sum(CAST(gmv * 100 AS BIGINT)) AS cents, min(d) AS first_purchase, max(d) AS last_purchase,
+         sum(CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END) AS n_weekend
+  FROM purchases GROUP BY client_id
+),
+features AS (
+  SELECT a.client_id, qtd_compras, gmv_total, CAST(first_purchase AS VARCHAR) AS first_purchase,
+         CAST(last_purchase AS VARCHAR) AS last_purchase,
+         CAST(cents AS DOUBLE) / qtd_compras / 100 AS ticket_medio,
+         date_diff('day', first_purchase, last_purchase) AS tenure_days,
+         CASE WHEN qtd_compras > 1 THEN CAST(date_diff('day', first_purchase, last_purchase) AS DOUBLE)
+              / (qtd_compras - 1) END AS mean_gap_days,
+         date_diff('day', last_purchase, (SELECT as_of FROM as_of)) AS recency_days,
+         CAST(n_weekend AS DOUBLE) / qtd_compras AS weekend_share,
+         CASE WHEN qtd_compras <= 7 THEN 'ocasional' WHEN qtd_compras <= 12 THEN 'regular'
+              ELSE 'recorrente' END AS seg_recorrencia,
+         CASE WHEN qtd_compras <= 1 THEN 'sem_intervalo'
+              WHEN date_diff('day', first_purchase, last_purchase) <= 175 * (qtd_compras - 1) THEN 'rapido'
+              WHEN date_diff('day', first_purchase, last_purchase) <= 277 * (qtd_compras - 1) THEN 'moderado'
+              ELSE 'lento' END AS seg_velocidade,
+         m.modal_route
+  FROM agg a LEFT JOIN modal m ON a.client_id = m.client_id
+),
+ids AS (
+  SELECT client_id, row_number() OVER (ORDER BY client_id) AS client_id_seq
+  FROM (SELECT DISTINCT client_id FROM purchases)
+)"""
+
+SEQ_CTE = PURCHASES_CTE + """,
+seq AS (
+  SELECT client_id, purchase_id, d, route,
+         lead(d) OVER w AS next_d, lead(route) OVER w AS next_route
+  FROM purchases WINDOW w AS (PARTITION BY client_id ORDER BY purchased_at, purchase_id)
+),
+top20 AS (
+  SELECT route, count(*) AS n_purchases FROM purchases WHERE route IS NOT NULL
+  GROUP BY route ORDER BY n_purchases DESC, route ASC LIMIT 20
+)"""
+
+
+def easter_sql(y: str) -> str:
+    a, b, c = f"({y} % 19)", f"({y} // 100)", f"({y} % 100)"
+    d, e = f"({b} // 4)", f"({b} % 4)"
+    f = f"(({b} + 8) // 25)"
+    g = f"(({b} - {f} + 1) // 3)"
+    h = f"((19 * {a} + {b} - {d} - {g} + 15) % 30)"
+    i, k = f"({c} // 4)", f"({c} % 4)"
+    l_ = f"((32 + 2 * {e} + 2 * {i} - {h} - {k}) % 7)"
+    m = f"(({a} + 11 * {h} + 22 * {l_}) // 451)"
+    t = f"({h} + {l_} - 7 * {m} + 114)"
+    return f"make_date({y}, CAST({t} // 31 AS INTEGER), CAST({t} % 31 + 1 AS INTEGER))"
+
+
+def holidays_cte(fixed, movable) -> str:
+    parts = []
+    for mo, dy, name, since in fixed:
+        cond = f"WHERE y >= {since}" if since else ""
+        parts.append(f"SELECT make_date(y, {mo}, {dy}) AS holiday_date, '{name}' AS name, "
+                     f"'nacional' AS scope FROM years {cond}")
+    for off, name, scope in movable:
+        parts.append(f"SELECT CAST({easter_sql('y')} + INTERVAL ({off}) DAY AS DATE) AS holiday_date, "
+                     f"'{name}' AS name, '{scope}' AS scope FROM years")
+    return """
+years AS (
+  SELECT CAST(range AS INTEGER) AS y FROM range(
+    (SELECT CAST(year(min(d)) - 1 AS BIGINT) FROM purchases),
+    (SELECT CAST(year(max(d)) + 2 AS BIGINT) FROM purchases))
+),
+hol AS (""" + "\n  UNION ALL ".join(parts) + """
+),
+hd AS (SELECT holiday_date, min(name) AS holiday_name FROM hol GROUP BY holiday_date)"""

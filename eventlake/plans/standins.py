@@ -166,3 +166,33 @@ def gold_export_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     second = shape(rows.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp")),
                    F.lower("c_mktsegment"))
     return first, second
+
+
+# Purchases ------------------------------------------------------------------
+
+def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases (FIXTURES §5) from orders: client = customer, GMV = total price,
+    origin = the customer's nation, destination = the nation of the supplier of
+    the order's first line (by line number, supplier, part); none if no lines."""
+    from eventlake.operators.joins import first_by_order
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    first = first_by_order(li, ["l_orderkey"], [F.col("l_linenumber"), F.col("l_suppkey"),
+                                                F.col("l_partkey")])
+    dest = (first.join(s, first.l_suppkey == s.s_suppkey)
+                 .join(n.withColumnRenamed("n_nationkey", "d_key").withColumnRenamed("n_name", "destination"),
+                       F.col("s_nationkey") == F.col("d_key"))
+                 .select("l_orderkey", "destination"))
+    rows = (o.join(c, o.o_custkey == c.c_custkey)
+              .join(n, c.c_nationkey == n.n_nationkey)
+              .join(dest, o.o_orderkey == dest.l_orderkey, "left"))
+    return rows.select(
+        F.concat(F.lit("cliente_"), F.col("o_custkey").cast("string")).alias("client_id"),
+        F.col("o_orderkey").alias("purchase_id"),
+        F.col("o_orderdate").cast("timestamp").alias("purchased_at"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("gmv"),
+        F.col("n_name").alias("origin"),
+        F.col("destination"))
