@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from eventlake.operators.joins import broadcast_if_small, first_by_order
 from eventlake.operators.stats import median
+from eventlake.session import checkpoint_root
 
 RECURRENCE_CUTS = (7, 12)               # <=7 ocasional, <=12 regular, else recorrente
 RECURRENCE_LABELS = ("ocasional", "regular", "recorrente")
@@ -138,7 +139,10 @@ def assign_ids(keys: DataFrame, key: str = "client_id", existing: DataFrame | No
         new = new.join(existing.select(key), key, "left_anti")
         base = existing.agg(F.max(id_col)).first()[0] or 0
     n = n_partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = new.repartitionByRange(n, key).withColumn("_pid", F.spark_partition_id())
+    checkpoint_root(keys.sparkSession)
+    # Checkpointed so the partition ids read by both branches below are the same.
+    ranged = (new.repartitionByRange(n, key).withColumn("_pid", F.spark_partition_id())
+                 .checkpoint(eager=True))
     ranked = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_pid").orderBy(key)))
     sizes = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_size"))
     offsets = sizes.select("_pid", (F.coalesce(F.sum("_size").over(

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.session import checkpoint_root
+
 
 def _parts(df: DataFrame, n: int | None) -> int:
     if n:
@@ -24,9 +26,18 @@ def _parts(df: DataFrame, n: int | None) -> int:
 
 
 def _ranged(df: DataFrame, key: str, order: list[str], n: int | None) -> DataFrame:
-    """Range-partition on (key, order) and tag each row with its partition id."""
-    return (df.repartitionByRange(_parts(df, n), key, *order)
-              .withColumn("_pid", F.spark_partition_id()))
+    """Range-partition on (key, order), tag each row with its partition id, and
+    checkpoint the result to the shared checkpoint folder.
+
+    The checkpoint matters for correctness: range bounds come from a sample
+    seeded by the RDD id, so two evaluations of the same plan (the two branches
+    that read a run and its boundary) could split differently.  A reliable
+    checkpoint fixes one assignment and also survives executor loss.
+    """
+    checkpoint_root(df.sparkSession)
+    ranged = (df.repartitionByRange(_parts(df, n), key, *order)
+                .withColumn("_pid", F.spark_partition_id()))
+    return ranged.checkpoint(eager=True)
 
 
 def with_next(df: DataFrame, key: str, order: list[str], cols: list[str],

@@ -233,3 +233,127 @@ def label_7_30(spark, sf_dir):
     from eventlake.operators.labels import next_purchase_labels
     p = _purchases(spark, sf_dir)
     return _dates_to_str(next_purchase_labels(p, _as_of(p)))
+
+
+def _cutoffs(p):
+    from eventlake.operators.labels import cutoff_dates
+    r = p.agg(F.min(F.to_date("purchased_at")), F.max(F.to_date("purchased_at"))).first()
+    return cutoff_dates(r[0], r[1], 6), str(r[1])
+
+
+@register("label_cutoffs", O.with_(O.PURCHASES_CTE + """,
+cuts AS (
+  SELECT CAST(c AS DATE) AS cutoff FROM (
+    SELECT unnest(generate_series(
+      CAST(make_date(year((SELECT min(d) FROM purchases)), 1, 1) AS TIMESTAMP),
+      CAST((SELECT max(d) FROM purchases) AS TIMESTAMP), INTERVAL 6 MONTH)) AS c)
+  WHERE CAST(c AS DATE) > (SELECT min(d) FROM purchases) AND CAST(c AS DATE) < (SELECT max(d) FROM purchases)
+),
+feats AS (
+  SELECT p.client_id, k.cutoff, count(*) AS n_purchases, CAST(sum(p.gmv) AS DECIMAL(18,2)) AS gmv_before,
+         date_diff('day', max(p.d), k.cutoff) AS days_since_last
+  FROM purchases p JOIN cuts k ON p.d <= k.cutoff GROUP BY p.client_id, k.cutoff
+),
+hits AS (
+  SELECT p.client_id, k.cutoff, count(*) AS n_in_horizon
+  FROM purchases p JOIN cuts k ON p.d > k.cutoff AND p.d <= k.cutoff + INTERVAL 30 DAY
+  GROUP BY p.client_id, k.cutoff
+)""", """
+SELECT f.client_id, CAST(f.cutoff AS VARCHAR) AS cutoff, n_purchases, gmv_before, days_since_last,
+       CASE WHEN h.n_in_horizon > 0 THEN 1
+            WHEN f.cutoff + INTERVAL 30 DAY <= (SELECT as_of FROM as_of) THEN 0 END AS label
+FROM feats f LEFT JOIN hits h ON f.client_id = h.client_id AND f.cutoff = h.cutoff"""))
+def label_cutoffs(spark, sf_dir):
+    """L2 (client, cutoff) features up to the cutoff and buy-within-30-days label."""
+    from eventlake.operators.labels import cutoff_labels
+    p = _purchases(spark, sf_dir)
+    cuts, as_of = _cutoffs(p)
+    return _dates_to_str(cutoff_labels(p, cuts, 30, as_of))
+
+
+@register("route_top20", O.with_(O.SEQ_CTE, "SELECT * FROM top20"))
+def route_top20(spark, sf_dir):
+    """O2/R2 the 20 most frequent origin-destination routes."""
+    from eventlake.operators.routes import top_routes
+    return top_routes(_purchases(spark, sf_dir), 20)
+
+
+@register("route_next", O.with_(O.SEQ_CTE, """
+SELECT client_id, purchase_id,
+       CASE WHEN route IN (SELECT route FROM top20) THEN route ELSE 'OUTROS' END AS route,
+       CASE WHEN next_route IN (SELECT route FROM top20) THEN next_route ELSE 'OUTROS' END AS next_route
+FROM seq WHERE route IS NOT NULL AND next_route IS NOT NULL"""))
+def route_next(spark, sf_dir):
+    """R1 next-route target per purchase, classes restricted to the top 20 (R2)."""
+    from eventlake.operators.routes import next_route_targets
+    return next_route_targets(_purchases(spark, sf_dir), 20)
+
+
+@register("route_recommend", O.with_(O.SEQ_CTE + """,
+trans AS (
+  SELECT route, next_route, count(*) AS n FROM seq
+  WHERE route IS NOT NULL AND next_route IS NOT NULL GROUP BY route, next_route
+),
+ranked AS (
+  SELECT route, next_route, n, row_number() OVER (PARTITION BY route ORDER BY n DESC, next_route ASC) AS rk
+  FROM trans
+),
+gtop AS (
+  SELECT route AS rec, n_purchases AS score, row_number() OVER (ORDER BY n_purchases DESC, route ASC) AS rk
+  FROM top20
+),
+last AS (
+  SELECT client_id, route AS last_route FROM (
+    SELECT client_id, route, row_number() OVER (PARTITION BY client_id
+           ORDER BY purchased_at DESC, purchase_id DESC) AS rn FROM purchases) WHERE rn = 1
+)""", """
+SELECT l.client_id, l.last_route, 'transition' AS basis, r.rk AS rank, r.next_route AS recommended_route,
+       r.n AS score
+FROM last l JOIN ranked r ON l.last_route = r.route WHERE r.rk <= 3
+UNION ALL
+SELECT l.client_id, l.last_route, 'global' AS basis, g.rk AS rank, g.rec AS recommended_route, g.score
+FROM last l JOIN gtop g ON g.rk <= 3
+WHERE l.last_route IS NULL OR l.last_route NOT IN (SELECT route FROM trans)"""))
+def route_recommend(spark, sf_dir):
+    """R3 counts-based next-route recommendation (top 3), global-frequency fallback."""
+    from eventlake.operators.routes import recommend_routes
+    return recommend_routes(_purchases(spark, sf_dir), 3)
+
+
+def _holidays_sql():
+    from eventlake.operators.enrich import FIXED_HOLIDAYS, MOVABLE_HOLIDAYS
+    return O.holidays_cte(FIXED_HOLIDAYS, MOVABLE_HOLIDAYS)
+
+
+@register("holiday_enrich", O.with_(O.PURCHASES_CTE + "," + _holidays_sql(), """
+SELECT p.purchase_id, p.client_id, CAST(p.d AS VARCHAR) AS purchase_date,
+       h.holiday_name IS NOT NULL AS is_holiday, h.holiday_name,
+       date_diff('day', p.d, (SELECT min(holiday_date) FROM hd x WHERE x.holiday_date >= p.d))
+         AS days_to_next_holiday,
+       date_diff('day', (SELECT max(holiday_date) FROM hd x WHERE x.holiday_date <= p.d), p.d)
+         AS days_since_prev_holiday
+FROM purchases p LEFT JOIN hd h ON h.holiday_date = p.d"""))
+def holiday_enrich(spark, sf_dir):
+    """J1 holiday enrichment: generated national holidays (fixed + Easter-based),
+    flag/name and distance to the nearest holidays per purchase."""
+    import datetime as dt
+    from eventlake.operators.enrich import brazil_holidays, holiday_features
+    p = _purchases(spark, sf_dir)
+    r = p.agg(F.min(F.to_date("purchased_at")), F.max(F.to_date("purchased_at"))).first()
+    y0, y1 = r[0].year - 1, r[1].year + 1
+    hol = brazil_holidays(spark, y0, y1)
+    return _dates_to_str(holiday_features(p, hol, dt.date(y0, 1, 1), dt.date(y1, 12, 31)))
+
+
+@register("event_proximity", """
+SELECT p.event_id, p.user_id,
+       (SELECT count(*) FROM events e WHERE e.user_id = p.user_id AND e.event_type = 'error'
+          AND e.ts >= p.ts - INTERVAL 86400 SECOND AND e.ts <= p.ts) AS n_errors_24h
+FROM events p WHERE p.event_type = 'purchase'""")
+def event_proximity(spark, sf_dir):
+    """J2 band join: errors of the same user in the 24 h before each purchase event
+    (running-count probes, no pair expansion)."""
+    from eventlake.operators.enrich import band_counts
+    apply_defaults(spark)
+    ev = standins.table(spark, sf_dir, "events")
+    return band_counts(ev, "purchase", "error", 86400, out="n_errors_24h").drop("ts")
