@@ -47,51 +47,74 @@ def _safe_ts(y: Column, mo: Column, d: Column, hh: Column, mi: Column) -> Column
     return F.when(ok, F.try_make_timestamp(y, mo, d, hh, mi, F.lit(0)))
 
 
+_SEP = "\u0001"
+
+
+def _groups(t: Column, rx: str, n: int) -> Column:
+    """Groups 1..n of the first match of ``rx`` in ``t`` with ONE regex pass:
+    the whole text is rewritten to the groups joined by a control character and
+    split.  No match -> the text is returned unchanged (one element)."""
+    body = rx[4:] if rx.startswith("(?U)") else rx
+    whole = "(?sU)^.*?" + body + ".*$"
+    repl = _SEP.join(f"${i}" for i in range(1, n + 1))
+    return F.split(F.regexp_replace(t, whole, repl), _SEP)
+
+
+def _g(parts: Column, n: int, i: int) -> Column:
+    return F.when(F.size(parts) == n, F.element_at(parts, i)).otherwise(F.lit(""))
+
+
+def _bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``fn`` (a lambda variable
+    is not duplicated by the optimizer the way a repeated subexpression is)."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _long_ts(lg: Column, year: Column, months: Column) -> Column:
+    return _safe_ts(
+        F.coalesce(_int_or_null(_g(lg, 5, 3)), year),
+        F.try_element_at(months, _g(lg, 5, 2)),
+        _int_or_null(_g(lg, 5, 1)),
+        F.coalesce(_int_or_null(_g(lg, 5, 4)), F.lit(0)),
+        F.coalesce(_int_or_null(_g(lg, 5, 5)), F.lit(0)),
+    )
+
+
+def _short_ts(sh: Column, year: Column, months: Column) -> Column:
+    return _safe_ts(year, F.try_element_at(months, _g(sh, 2, 2)), _int_or_null(_g(sh, 2, 1)),
+                    F.lit(0), F.lit(0))
+
+
 def pt_timestamp(text: Column | str, year: Column | int | None = None) -> Column:
     """Parse a Portuguese listing date; ``year`` fills texts that carry none.
 
     Tried in order, first valid result wins: the long shape (its first match in
     the lower-cased text), then the short ``D MMM`` shape.  Unknown month, day
-    or hour out of range -> that shape yields null.
+    or hour out of range -> that shape yields null.  Each shape costs one regex
+    pass per row.
     """
-    t = F.lower(F.col(text) if isinstance(text, str) else text)
+    raw = F.col(text) if isinstance(text, str) else text
+    t = F.translate(F.lower(raw), _SEP, "")
     if year is None:
         year = F.year(F.current_date())
     elif isinstance(year, int):
         year = F.lit(year)
     months = _month_map()
-
-    def grp(rx, i):
-        return F.regexp_extract(t, rx, i)
-
-    y_long = F.coalesce(_int_or_null(grp(PT_LONG_RE, 3)), year)
-    long_ts = _safe_ts(
-        y_long,
-        F.try_element_at(months, grp(PT_LONG_RE, 2)),
-        _int_or_null(grp(PT_LONG_RE, 1)),
-        F.coalesce(_int_or_null(grp(PT_LONG_RE, 4)), F.lit(0)),
-        F.coalesce(_int_or_null(grp(PT_LONG_RE, 5)), F.lit(0)),
-    )
-    short_ts = _safe_ts(
-        year,
-        F.try_element_at(months, grp(PT_SHORT_RE, 2)),
-        _int_or_null(grp(PT_SHORT_RE, 1)),
-        F.lit(0),
-        F.lit(0),
-    )
-    return F.coalesce(long_ts, short_ts)
+    return F.coalesce(
+        _bind(_groups(t, PT_LONG_RE, 5), lambda lg: _long_ts(lg, year, months)),
+        _bind(_groups(t, PT_SHORT_RE, 2), lambda sh: _short_ts(sh, year, months)))
 
 
 def numeric_dmy_timestamp(text: Column | str) -> Column:
     """`dd/MM/yyyy[, HH:mm]` anywhere in the text (first match)."""
-    t = F.col(text) if isinstance(text, str) else text
-
-    def grp(i):
-        return F.regexp_extract(t, NUMERIC_DMY_RE, i)
+    t = F.translate(F.col(text) if isinstance(text, str) else text, _SEP, "")
 
-    return _safe_ts(_int_or_null(grp(3)), _int_or_null(grp(2)), _int_or_null(grp(1)),
-                    F.coalesce(_int_or_null(grp(4)), F.lit(0)),
-                    F.coalesce(_int_or_null(grp(5)), F.lit(0)))
+    def build(g):
+        return _safe_ts(_int_or_null(_g(g, 5, 3)), _int_or_null(_g(g, 5, 2)),
+                        _int_or_null(_g(g, 5, 1)),
+                        F.coalesce(_int_or_null(_g(g, 5, 4)), F.lit(0)),
+                        F.coalesce(_int_or_null(_g(g, 5, 5)), F.lit(0)))
+    return _bind(_groups(t, NUMERIC_DMY_RE, 5), build)
 
 
 def to_ts_any(text: Column | str, year: Column | int | None = None,
@@ -101,7 +124,13 @@ def to_ts_any(text: Column | str, year: Column | int | None = None,
     the third feed after the fixed patterns."""
     c = F.col(text) if isinstance(text, str) else text
     parts = [pt_timestamp(c, year)]
-    parts += [F.try_to_timestamp(c, F.lit(p)) for p in FALLBACK_TS_PATTERNS]
+    # A failed pattern parse is costly (the parser throws internally), so each
+    # pattern is only tried when the text could match it: it must start with a
+    # digit and contain the pattern's date separator.
+    starts_digit = F.substring(c, 1, 1).between("0", "9")
+    for p in FALLBACK_TS_PATTERNS:
+        sep = "-" if "-" in p else "/"
+        parts.append(F.when(starts_digit & (F.instr(c, sep) > 0), F.try_to_timestamp(c, F.lit(p))))
     if numeric_dmy:
         parts.append(numeric_dmy_timestamp(c))
     return F.coalesce(*parts).cast("timestamp")
