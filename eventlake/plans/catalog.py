@@ -357,3 +357,205 @@ def event_proximity(spark, sf_dir):
     apply_defaults(spark)
     ev = standins.table(spark, sf_dir, "events")
     return band_counts(ev, "purchase", "error", 86400, out="n_errors_24h").drop("ts")
+
+
+# --- scalar building blocks over the driver tables ---------------------------
+
+BRONZE_BUCKET_URI = "s3://eventos-bronze/"
+
+
+def _feed_files(spark, sf_dir):
+    feeds = standins.bronze_feeds(spark, sf_dir)
+    return (feeds["sympla"].select("src_file").unionByName(feeds["ticket360"].select("src_file"))
+            .unionByName(feeds["eventim"].select("src_file")).distinct())
+
+
+_FILES_SQL = """
+files AS (SELECT DISTINCT src_file FROM (SELECT src_file FROM sympla UNION ALL
+          SELECT src_file FROM ticket360 UNION ALL SELECT src_file FROM eventim)),
+uris AS (SELECT src_file, '""" + BRONZE_BUCKET_URI + """' || replace(src_file, ' ', '%20') AS src_uri FROM files),
+keys AS (
+  SELECT src_uri, regexp_extract(src_uri, '^s3://([^/]*)', 1) AS bucket,
+         replace(regexp_replace(regexp_extract(src_uri, '^s3://[^/]*(.*)$', 1), '^/+', ''), '%20', ' ')
+           AS object_key
+  FROM uris
+)"""
+
+
+@register("path_lineage", O.with_(O.FEEDS_CTE + "," + _FILES_SQL, """
+SELECT src_uri, bucket, object_key,
+       CASE WHEN object_key LIKE '%database Sympla/%' THEN 'sympla'
+            WHEN object_key LIKE '%database Ticket360/%' THEN 'ticket360'
+            WHEN object_key LIKE '%database Eventim/%' OR object_key LIKE '%database Evetim/%' THEN 'eventim'
+            ELSE COALESCE(NULLIF(regexp_extract(object_key, 'source=([^/]+)/', 1), ''), 'desconhecida')
+       END AS source,
+       """ + O.ingest_sql("object_key") + """ AS ingest_date,
+       NULLIF(regexp_extract(object_key, '(.*/date=[0-9]{4}-[0-9]{2}-[0-9]{2}/)', 1), '') AS date_prefix,
+       split_part(object_key, '/', 1) || '/Arquivos Processados/source=' ||
+         CASE WHEN object_key LIKE '%database Sympla/%' THEN 'sympla'
+              WHEN object_key LIKE '%database Ticket360/%' THEN 'ticket360'
+              ELSE 'eventim' END
+         || '/date=' || COALESCE(NULLIF(regexp_extract(object_key, 'date=([0-9]{4}-[0-9]{2}-[0-9]{2})', 1), ''),
+                                 '0000-00-00')
+         || '/' || regexp_extract(object_key, '([^/]*)$', 1) AS archive_key
+FROM keys"""))
+def path_lineage(spark, sf_dir):
+    """S4/B18 decoded file URIs; X17 bucket/key split; X14 source; X1 ingest date;
+    X15 date prefix; X16 archive key; D3 distinct source files."""
+    from eventlake.functions import text as X
+    from eventlake.functions.dates import ingest_date_from_path
+    apply_defaults(spark)
+    files = _feed_files(spark, sf_dir)
+    uri = F.concat(F.lit(BRONZE_BUCKET_URI), F.regexp_replace("src_file", " ", "%20"))
+    u = files.select(uri.alias("src_uri"))
+    k = u.select("src_uri", X.uri_bucket("src_uri").alias("bucket"),
+                 X.decoded_path(X.uri_key("src_uri")).alias("object_key"))
+    return k.select("src_uri", "bucket", "object_key",
+                    X.source_from_path("object_key").alias("source"),
+                    ingest_date_from_path("object_key", run_date="1970-01-01").alias("ingest_date"),
+                    X.date_prefix("object_key").alias("date_prefix"),
+                    X.archive_key("object_key").alias("archive_key"))
+
+
+@register("city_filter", O.with_(O.FEEDS_CTE, """
+SELECT trim(city) AS cidade, count(*) AS n_rows FROM ticket360
+WHERE city IS NOT NULL AND length(trim(city)) > 0 AND lower(trim(city)) NOT IN ('null', 'none', 'n/a', 'na')
+GROUP BY trim(city)"""))
+def city_filter(spark, sf_dir):
+    """P9 trim + F2 usable-city predicate (null, blank, null-like values dropped)."""
+    from eventlake.functions.text import is_usable_city
+    apply_defaults(spark)
+    t = standins.bronze_feeds(spark, sf_dir)["ticket360"].select(F.trim("city").alias("cidade"))
+    return t.filter(is_usable_city("cidade")).groupBy("cidade").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("brt_shift", """
+SELECT event_id,
+       """ + O.brt("CAST(ts AS TIMESTAMP)", "%d/%m/%Y") + """ AS data,
+       """ + O.brt("CAST(ts AS TIMESTAMP)", "%H:%M") + """ AS hora,
+       """ + O.brt("CAST(CAST(ts AS DATE) AS TIMESTAMP)", "%d/%m/%Y %H:%M") + """ AS data_ingestao
+FROM events""")
+def brt_shift(spark, sf_dir):
+    """X4 UTC -> São Paulo display (date, time, and a date-only value's display)."""
+    from eventlake.functions.dates import brt_display
+    apply_defaults(spark)
+    ev = standins.table(spark, sf_dir, "events")
+    ts = F.col("ts").cast("timestamp")
+    return ev.select("event_id", brt_display(ts, "dd/MM/yyyy").alias("data"),
+                     brt_display(ts, "HH:mm").alias("hora"),
+                     brt_display(F.to_date(ts).cast("timestamp"), "dd/MM/yyyy HH:mm").alias("data_ingestao"))
+
+
+@register("header_normalise", """
+SELECT c_custkey AS c_custkey, c_name AS _c_name, c_nationkey AS c_nationkey,
+       c_mktsegment AS market_segment FROM customer""")
+def header_normalise(spark, sf_dir):
+    """P1 header normalising (BOM, whitespace runs, case), P2 required-column gate,
+    S5 empty canonical frame for a feed lacking columns, U1 union by name."""
+    from eventlake.sources.feeds import gate
+    apply_defaults(spark)
+    c = standins.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("﻿C_CUSTKEY"), F.col("c_name").alias(" c_name"),
+        F.col("c_nationkey").alias("c_NationKey"), F.col("c_mktsegment").alias("Market \t Segment"))
+    good = gate(c, ["c_custkey", "_c_name"])
+    empty = gate(c.select(" c_name"), ["c_custkey", "_c_name"], good.schema)
+    return good.unionByName(empty, allowMissingColumns=True)
+
+
+_JS_WS = "[\\s\\x{0b}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}]"
+
+
+def _js_trim_sql(x: str) -> str:
+    return f"regexp_replace({x}, '^{_JS_WS}+|{_JS_WS}+$', '', 'g')"
+
+
+@register("first_comma_split", """
+SELECT doc_id,
+       md5(""" + _js_trim_sql("split_part(text, ',', 1)") + """) AS head_md5,
+       length(""" + _js_trim_sql("split_part(text, ',', 1)") + """) AS head_len,
+       md5(""" + _js_trim_sql("regexp_extract(text, '(?s)^[^,]*,(.*)$', 1)") + """) AS rest_md5,
+       length(""" + _js_trim_sql("regexp_extract(text, '(?s)^[^,]*,(.*)$', 1)") + """) AS rest_len
+FROM documents""")
+def first_comma_split(spark, sf_dir):
+    """X10 split of whole texts at the first comma (head, rest; JS-style trim)."""
+    from eventlake.functions.text import split_first_comma
+    apply_defaults(spark)
+    d = standins.table(spark, sf_dir, "documents")
+    head, rest = split_first_comma("text")
+    x = d.select("doc_id", head.alias("h"), rest.alias("r"))
+    return x.select("doc_id", F.md5("h").alias("head_md5"), F.length("h").alias("head_len"),
+                    F.md5("r").alias("rest_md5"), F.length("r").alias("rest_len"))
+
+
+@register("utf8_fallback", """
+SELECT doc_id, lang, md5(text) AS text_md5, length(text) AS n_chars FROM documents""")
+def utf8_fallback(spark, sf_dir):
+    """S6 byte decoding: UTF-8 (BOM dropped) when valid, else Latin-1; bytes are
+    the documents encoded per language as UTF-8, UTF-8 with BOM or Latin-1."""
+    from eventlake.functions.text import decode_text
+    apply_defaults(spark)
+    b = standins.document_bytes(spark, sf_dir)
+    t = b.select("doc_id", "lang", decode_text("content").alias("t"))
+    return t.select("doc_id", "lang", F.md5("t").alias("text_md5"), F.length("t").alias("n_chars"))
+
+
+@register("feed_partitions", O.with_(O.FEEDS_CTE + """,
+files AS (SELECT DISTINCT src_file FROM (SELECT src_file FROM sympla UNION ALL
+          SELECT src_file FROM ticket360 UNION ALL SELECT src_file FROM eventim)),
+tagged AS (
+  SELECT regexp_extract(src_file, 'database ([^/]+)/', 1) AS label, src_file,
+         NULLIF(regexp_extract(src_file, '(.*/date=[0-9]{4}-[0-9]{2}-[0-9]{2}/)', 1), '') AS prefix
+  FROM files
+),
+per_label AS (
+  SELECT label, count(*) AS n_files, count(DISTINCT prefix) AS n_prefixes, max(prefix) AS latest_prefix
+  FROM tagged GROUP BY label
+)""", """
+SELECT r.label, r.feed, COALESCE(p.n_files, 0) AS n_files, COALESCE(p.n_prefixes, 0) AS n_prefixes,
+       p.latest_prefix, p.label IS NOT NULL AS consumed
+FROM (VALUES ('Sympla', 'sympla'), ('Ticket360', 'ticket360'), ('Eventim', 'eventim'),
+             ('Evetim', 'eventim')) r(label, feed)
+LEFT JOIN per_label p ON p.label = r.label"""))
+def feed_partitions(spark, sf_dir):
+    """S3 feed registry (case variants, misspelt folder); U3 consumed date prefixes;
+    A5 latest prefix per folder; J5 registry entries with nothing consumed."""
+    from eventlake.functions.text import date_prefix
+    from eventlake.sources.feeds import FEED_LABELS, feed_label
+    apply_defaults(spark)
+    files = _feed_files(spark, sf_dir)
+    tagged = files.select(feed_label(F.col("src_file")).alias("label"), "src_file",
+                          date_prefix("src_file").alias("prefix"))
+    per = tagged.groupBy("label").agg(F.count(F.lit(1)).alias("n_files"),
+                                      F.count_distinct("prefix").alias("n_prefixes"),
+                                      F.max("prefix").alias("latest_prefix"))
+    reg = spark.createDataFrame(list(FEED_LABELS.items()), "label string, feed string")
+    j = reg.join(F.broadcast(per), "label", "left")
+    return j.select("label", "feed", F.coalesce("n_files", F.lit(0)).alias("n_files"),
+                    F.coalesce("n_prefixes", F.lit(0)).alias("n_prefixes"), "latest_prefix",
+                    F.col("latest_prefix").isNotNull().alias("consumed"))
+
+
+@register("first_seen_per_category", """
+SELECT user_id, event_type, event_id FROM (
+  SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id, event_type
+         ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1""")
+def first_seen_per_category(spark, sf_dir):
+    """D2/F5/U2 first-seen key within each category (category = user, key = event type),
+    earliest by (time, id)."""
+    from eventlake.operators.joins import first_by_order
+    apply_defaults(spark)
+    ev = standins.table(spark, sf_dir, "events").filter(F.col("event_type").isNotNull())
+    first = first_by_order(ev, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")])
+    return first.select("user_id", "event_type", "event_id")
+
+
+@register("date_phrase", O.with_(O.FEEDS_CTE, """
+SELECT url, NULLIF(regexp_extract(date, '(?i)[0-9]{1,2}\\s+de\\s+[\\pL\\pN_]+\\s+às\\s+[0-9]{1,2}:[0-9]{2}', 0), '')
+         AS phrase
+FROM sympla"""))
+def date_phrase_q(spark, sf_dir):
+    """X5 first `D de MÊS às HH:MM` phrase in a listing text."""
+    from eventlake.functions.dates import date_phrase
+    apply_defaults(spark)
+    s = standins.bronze_feeds(spark, sf_dir)["sympla"]
+    return s.select("url", date_phrase("date").alias("phrase"))

@@ -200,3 +200,15 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast("decimal(18,2)").alias("gmv"),
         F.col("n_name").alias("origin"),
         F.col("destination"))
+
+
+def document_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as raw bytes, encoded by language: en UTF-8, fr UTF-8 with a
+    byte-order mark, others Latin-1 (as files from mixed sources arrive)."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    d = d.repartition(n, "doc_id")
+    content = (F.when(F.col("lang") == "en", F.encode("text", "UTF-8"))
+                .when(F.col("lang") == "fr", F.concat(F.unhex(F.lit("EFBBBF")), F.encode("text", "UTF-8")))
+                .otherwise(F.encode("text", "ISO-8859-1")))
+    return d.select("doc_id", "lang", content.alias("content"))
