@@ -559,3 +559,115 @@ def date_phrase_q(spark, sf_dir):
     apply_defaults(spark)
     s = standins.bronze_feeds(spark, sf_dir)["sympla"]
     return s.select("url", date_phrase("date").alias("phrase"))
+
+
+# --- HTML pages ----------------------------------------------------------------
+
+def _link_sql(with_query_drop=True):
+    return """
+raw AS (
+  SELECT page_id, url, unnest(l) AS href0, unnest(range(1, len(l) + 1)) AS pos
+  FROM (SELECT page_id, url, regexp_extract_all(html, '<a\\b[^>]*href="([^"]*)"', 1) AS l FROM pages)
+),
+dec AS (
+  SELECT page_id, url, pos,
+         replace(replace(replace(replace(replace(href0, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+                 '&#39;', ''''), '&amp;', '&') AS href
+  FROM raw
+),
+absl AS (
+  SELECT page_id, pos,
+         split_part(CASE WHEN starts_with(href, 'http') THEN href
+              ELSE regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || '/'
+                   || regexp_replace(href, '^/+', '') END, '?', 1) AS link
+  FROM dec
+)"""
+
+
+@register("links_extract", O.with_(_link_sql(), """
+SELECT page_id, link, min(pos) AS pos FROM absl GROUP BY page_id, link"""))
+def links_extract(spark, sf_dir):
+    """S11/H1 anchors of stored pages: X11 absolute, X12 query dropped, D4 first
+    occurrence per page kept with its position."""
+    from eventlake.sources.html import extract_links
+    apply_defaults(spark)
+    pages = standins.table(spark, sf_dir, "pages")
+    return extract_links(pages)
+
+
+@register("links_paged", """
+SELECT page_id, url, regexp_extract(url, '^([^?#]*)', 1) AS listing,
+       COALESCE(TRY_CAST(NULLIF(regexp_extract(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1),
+                '(?:^|&)page=([^&]*)', 1), '') AS INTEGER), 0) AS page_no
+FROM pages""")
+def links_paged(spark, sf_dir):
+    """H2/O1 pagination: listing (URL without query) and numeric page parameter
+    (absent -> 0, so the base page sorts first)."""
+    from eventlake.sources.html import paginate
+    apply_defaults(spark)
+    pages = standins.table(spark, sf_dir, "pages").select("page_id", "url")
+    return paginate(pages, "url", "page").select("page_id", "url", "listing", "page_no")
+
+
+def _cards(spark, sf_dir):
+    from eventlake.functions.text import url_origin
+    from eventlake.session import checkpoint_root
+    from eventlake.sources.html import cards_to_feed, first_seen, paginate, parse_cards, stop_at_empty_page
+    apply_defaults(spark)
+    checkpoint_root(spark)
+    pages = paginate(standins.listing_pages(spark, sf_dir), "url", "p") \
+        .withColumn("origin", url_origin("url"))
+    # One parse of every page; materialised once for the per-site branches below.
+    raw = parse_cards(pages).checkpoint(eager=True)
+    a = stop_at_empty_page(raw.filter(F.col("site") == "sympla"))
+    a = cards_to_feed(a, "sympla", base_url=standins.PAGE_HOST)
+    b = raw.filter((F.col("site") == "ticket360") & (F.col("pos") > 0))
+    b = first_seen(cards_to_feed(b, "ticket360", page_origin=F.col("origin")))
+    c = raw.filter((F.col("site") == "eventim") & (F.col("pos") > 0))
+    c = cards_to_feed(c, "eventim")
+    c = first_seen(c.filter(F.col("url").isNotNull() & (F.col("url") != "")))
+    none = F.lit(None).cast("string")
+    return (a.select(F.lit("sympla").alias("site"), "url", "title", "place", none.alias("city"), "date")
+            .unionByName(b.select(F.lit("ticket360").alias("site"), "url", "title", "place", "city", "date"))
+            .unionByName(c.select(F.lit("eventim").alias("site"), "url",
+                                  F.nullif(F.col("artist"), F.lit("")).alias("title"),
+                                  F.col("location").alias("place"), none.alias("city"), "date")))
+
+
+@register("cards_listing", O.with_(O.ROWS_CTE + """,
+cards AS (
+  SELECT 'sympla' AS site, url, p_name AS title,
+         CASE c_mktsegment
+           WHEN 'BUILDING' THEN p_name || ' - ' || n_name
+           WHEN 'AUTOMOBILE' THEN p_name || '-arena - ' || n_name
+           WHEN 'MACHINERY' THEN p_name || ' – ' || n_name
+           WHEN 'FURNITURE' THEN p_brand || ' hall - ' || n_name || ', BR'
+           ELSE p_name END AS place,
+         CAST(NULL AS VARCHAR) AS city,
+         NULLIF(regexp_extract(CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE
+           CAST(ev_day AS VARCHAR) || ' de ' || """ + O._list(standins.MONTH_ABBR) + """[ev_month] || ' às ' || hhmm END,
+           '(?i)[0-9]{1,2}\\s+de\\s+[\\pL\\pN_]+\\s+às\\s+[0-9]{1,2}:[0-9]{2}', 0), '') AS date,
+         1 AS keep
+  FROM rows2 WHERE l_returnflag = 'A'
+  UNION ALL
+  SELECT 'ticket360', url, upper(p_name), p_brand || ' - teatro',
+         trim(CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'N/A' WHEN 'MACHINERY' THEN '  ' ELSE n_name END),
+         CAST(ev_day AS VARCHAR) || ' ' || upper(""" + O._list(standins.MONTH_ABBR) + """[ev_month]) || ' • '
+           || """ + O._list(standins.WEEKDAY_ABBR) + """[ev_dow],
+         row_number() OVER (PARTITION BY c_mktsegment, l_orderkey ORDER BY l_linenumber, upper(p_name),
+                            p_brand, n_name)
+  FROM rows2 WHERE l_returnflag = 'N'
+  UNION ALL
+  SELECT 'eventim', '""" + standins.PAGE_HOST + """/event/' || CAST(l_orderkey AS VARCHAR) || '/',
+         upper(p_name), n_name || ' - Sp', CAST(NULL AS VARCHAR),
+         """ + O._list(standins.WEEKDAY_ABBR) + """[ev_dow] || '. ' || lpad(CAST(ev_day AS VARCHAR), 2, '0') || '/'
+           || lpad(CAST(ev_month AS VARCHAR), 2, '0') || '/' || CAST(ev_year AS VARCHAR) || ', ' || hhmm,
+         row_number() OVER (PARTITION BY c_mktsegment, l_orderkey ORDER BY l_linenumber, upper(p_name),
+                            n_name, hhmm)
+  FROM rows2 WHERE l_returnflag = 'R'
+)""", "SELECT site, url, title, place, city, date FROM cards WHERE keep = 1"))
+def cards_listing(spark, sf_dir):
+    """H3-H5 card extraction from listing pages of the three site layouts
+    (mapInPandas + html.parser), X5/X6/X10/X11/X13 field rules, H6 stop at the
+    first empty page, D2/F5 first-seen URL per listing, U2 all pages appended."""
+    return _cards(spark, sf_dir)

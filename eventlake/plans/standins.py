@@ -82,9 +82,12 @@ def _src_file(root: F.Column, site: str, feed: str, dated: F.Column) -> F.Column
             .otherwise(F.concat(folder, name))
 
 
-def bronze_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The three raw feeds (all-string columns in file order) plus ``src_file``."""
+def bronze_feeds(spark: SparkSession, sf_dir: str, with_keys: bool = False) -> dict[str, DataFrame]:
+    """The three raw feeds (all-string columns in file order) plus ``src_file``
+    (and, with ``with_keys``, the listing's order/line/segment for page rendering)."""
     rows = listing_rows(spark, sf_dir)
+    keys = [F.col("l_orderkey").alias("_order"), F.col("l_linenumber").alias("_line"),
+            F.col("c_mktsegment").alias("_segment")] if with_keys else []
     url = F.concat(F.lit(EVENT_URL_BASE), F.col("l_orderkey").cast("string"))
     hhmm = F.concat(_two(F.col("ev_hour")), F.lit(":"), _two(F.col("ev_min")))
     seg = F.col("c_mktsegment")
@@ -106,7 +109,7 @@ def bronze_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     sympla = rows.filter(F.col("l_returnflag") == "A").select(
         url.alias("url"), F.col("p_name").alias("title"), a_place.alias("place"),
         a_date.alias("date"),
-        _src_file(upper_root, "Sympla", "sympla", F.lit(True)).alias("src_file"))
+        _src_file(upper_root, "Sympla", "sympla", F.lit(True)).alias("src_file"), *keys)
 
     # Site B: `24 OUT • sex`; city column with blanks and null-like values.
     b_date = F.concat(F.col("ev_day").cast("string"), F.lit(" "),
@@ -120,7 +123,7 @@ def bronze_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.concat(F.col("p_brand"), F.lit(" - teatro")).alias("place"), b_city.alias("city"),
         b_date.alias("date"),
         _src_file(upper_root, "Ticket360", "ticket360",
-                  F.col("o_orderpriority") != "3-MEDIUM").alias("src_file"))
+                  F.col("o_orderpriority") != "3-MEDIUM").alias("src_file"), *keys)
 
     # Site C: `sáb. 25/10/2025, 20:00`; misspelt folder for half of the files.
     c_date = F.concat(_pick(WEEKDAY_ABBR, F.col("ev_dow")), F.lit(". "), _two(F.col("ev_day")),
@@ -132,7 +135,7 @@ def bronze_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     eventim = rows.filter(F.col("l_returnflag") == "R").select(
         F.upper("p_name").alias("artist"), url.alias("url"),
         F.concat(F.col("n_name"), F.lit(" - Sp")).alias("location"), c_date.alias("date"),
-        c_file.alias("src_file"))
+        c_file.alias("src_file"), *keys)
     return {"sympla": sympla, "ticket360": ticket360, "eventim": eventim}
 
 
@@ -212,3 +215,77 @@ def document_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .when(F.col("lang") == "fr", F.concat(F.unhex(F.lit("EFBBBF")), F.encode("text", "UTF-8")))
                 .otherwise(F.encode("text", "ISO-8859-1")))
     return d.select("doc_id", "lang", content.alias("content"))
+
+
+# Listing pages (HTML) -------------------------------------------------------
+
+PAGE_HOST = "https://ingressos.exemplo.com.br"
+ORDERS_PER_PAGE = 64
+
+
+def _esc(c) -> F.Column:
+    c = F.col(c) if isinstance(c, str) else c
+    for ch, ent in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        c = F.replace(c, F.lit(ch), F.lit(ent))
+    return c
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card pages of the three sites, rendered from the listing rows.
+
+    Listing = (site, customer segment); page = 64 consecutive orders, cards in
+    (order, line) order.  Each listing also gets an empty page after its last
+    one and then a repeat of its first page (what a scraper meets when it runs
+    past the end of a listing)."""
+    f = bronze_feeds(spark, sf_dir, with_keys=True)
+    a = f["sympla"]
+    card_a = F.concat(
+        F.lit('<a class="sympla-card" href="/evento/'), F.col("_order").cast("string"), F.lit('"'),
+        F.when(F.col("_line") % 2 == 1, F.concat(F.lit(' data-name="'), _esc("title"), F.lit('"')))
+         .otherwise(F.lit("")),
+        F.lit("><h3>"), _esc("title"), F.lit("</h3><p>"), _esc("place"),
+        F.lit("</p><div><span>"), _esc("_segment"), F.lit("</span></div><div>"), _esc("date"),
+        F.lit("</div></a>"))
+    b = f["ticket360"]
+    parts = F.split("date", " ")
+    card_b = F.concat(
+        F.lit('<a class="event-click" href="evento/'), F.col("_order").cast("string"),
+        F.lit('" title="'), _esc("title"), F.lit('"><div class="header-card-event">'
+                                                  '<div class="card-name-local"><strong>'),
+        _esc("place"), F.lit('</strong></div></div><div class="card-endereco">'), _esc("city"),
+        F.lit('</div><div class="row data-calendar"><span class="data-layer">'),
+        F.element_at(parts, 1), F.lit('</span><span class="data-mes">'), F.element_at(parts, 2),
+        F.lit('</span><span class="data-semana">'), F.element_at(parts, 4), F.lit("</span></div></a>"))
+    c = f["eventim"]
+    card_c = F.concat(
+        F.lit('<product-group-item><div data-qa="product-group-headline"><span>'), _esc("artist"),
+        F.lit('</span></div><div class="listing-item-clickable"><div class="listing-subheadline"><span>'),
+        _esc("location"), F.lit(", "), _esc("date"),
+        F.lit(f'</span></div><listing-cta><a href="{PAGE_HOST}/event/'), F.col("_order").cast("string"),
+        F.lit('/">Ingressos</a></listing-cta></div></product-group-item>'))
+    cards = (a.select(F.lit("sympla").alias("site"), "_segment", "_order", "_line", card_a.alias("card"))
+             .unionByName(b.select(F.lit("ticket360").alias("site"), "_segment", "_order", "_line",
+                                   card_b.alias("card")))
+             .unionByName(c.select(F.lit("eventim").alias("site"), "_segment", "_order", "_line",
+                                   card_c.alias("card"))))
+    cards = cards.withColumn("page_no", (F.floor(F.col("_order") / ORDERS_PER_PAGE) + 1).cast("int"))
+    pages = cards.groupBy("site", "_segment", "page_no").agg(
+        F.array_sort(F.collect_list(F.struct("_order", "_line", "card"))).alias("cs"))
+    pages = pages.select("site", "_segment", "page_no",
+                         F.concat(F.lit("<html><body><main>"),
+                                  F.array_join(F.transform("cs", lambda x: x["card"]), ""),
+                                  F.lit("</main></body></html>")).alias("html"))
+    last = pages.groupBy("site", "_segment").agg(F.max("page_no").alias("_last"),
+                                                 F.min("page_no").alias("_first"))
+    empty = last.select("site", "_segment", (F.col("_last") + 1).alias("page_no"),
+                        F.lit("<html><body><main><p>Nenhum evento</p></main></body></html>").alias("html"))
+    again = pages.join(last, ["site", "_segment"]).filter(F.col("page_no") == F.col("_first")) \
+        .select("site", "_segment", (F.col("_last") + 2).alias("page_no"), "html")
+    allp = pages.unionByName(empty).unionByName(again)
+    url = F.concat(F.lit(PAGE_HOST + "/"), F.col("site"), F.lit("/categoria/"), F.lower("_segment"),
+                   F.lit("?p="), F.col("page_no").cast("string"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    out = allp.select(F.concat_ws(":", "site", "_segment", F.col("page_no").cast("string")).alias("page_id"),
+                      "site", url.alias("url"), "html")
+    # Stored pages arrive as many files; spread them like input splits.
+    return out.repartition(n * 2, "page_id")
