@@ -671,3 +671,62 @@ def cards_listing(spark, sf_dir):
     (mapInPandas + html.parser), X5/X6/X10/X11/X13 field rules, H6 stop at the
     first empty page, D2/F5 first-seen URL per listing, U2 all pages appended."""
     return _cards(spark, sf_dir)
+
+
+# --- files: CSV trees, exports, streaming ------------------------------------------
+
+_SILVER_KEYS_SQL = O.with_(O.SILVER_MONTH_CTE, "SELECT event_url, source, ingest_date FROM silver")
+
+
+@register("bronze_csv_ingest", _SILVER_KEYS_SQL)
+def bronze_csv_ingest(spark, sf_dir):
+    """S1-S4/S12 recursive CSV feed reading (case variants, misspelt folder, B19
+    header groups, lineage from the file path), K5 Bronze layout, then U1/F1/D1
+    into a keyed Silver table (K1/K6 bucketed upsert)."""
+    from eventlake.plans.jobs import bronze_to_silver
+    from eventlake.session import scratch_dir
+    apply_defaults(spark)
+    root = scratch_dir(spark, "bronze")
+    standins.write_bronze_tree(spark, sf_dir, root, vary_headers=True)
+    silver = scratch_dir(spark, "silver") + "/events"
+    bronze_to_silver(spark, root, silver, run_date="1970-01-01", n_buckets=16)
+    return spark.read.parquet(silver).select("event_url", "source", "ingest_date")
+
+
+@register("stream_ingest", _SILVER_KEYS_SQL)
+def stream_ingest(spark, sf_dir):
+    """T1 incremental file-stream ingest (availableNow, checkpointed), T2 source
+    archiving, T3 continuous URL upsert via foreachBatch into the keyed Silver table."""
+    from eventlake.session import scratch_dir
+    from eventlake.streaming.ingest import start_silver_stream
+    apply_defaults(spark)
+    root = scratch_dir(spark, "bronze-stream")
+    standins.write_bronze_tree(spark, sf_dir, root)
+    base = scratch_dir(spark, "silver-stream")
+    q = start_silver_stream(spark, root, base + "/events", base + "/_checkpoint",
+                            archive_dir=base + "/_archive", n_buckets=16, run_date="1970-01-01")
+    q.awaitTermination()
+    return spark.read.parquet(base + "/events").select("event_url", "source", "ingest_date")
+
+
+@register("gold_csv_roundtrip", O.with_(_DOCS_SQL, "SELECT * FROM merged"))
+def gold_csv_roundtrip(spark, sf_dir):
+    """K3/K4 run-stamped quoted CSV exports (UTF-8 ',' and Latin-1 ';'), read back
+    with S6 decoding, S7 delimiter choice, S8 normalised keys/values, then
+    P12/P13/X18 documents and K8 bucketed $set upsert of both exports."""
+    from eventlake.plans.jobs import gold_to_documents
+    from eventlake.operators.serve import flatten_documents
+    from eventlake.session import scratch_dir
+    from eventlake.sinks.files import export_csv
+    apply_defaults(spark)
+    first, second = standins.gold_export_rows(spark, sf_dir)
+    k1, k2 = standins.GOLD_EXPORT_KEYS
+    out = scratch_dir(spark, "gold-exports")
+    export_csv(first, f"{out}/{k1}", sep=",")
+    docs = scratch_dir(spark, "docs") + "/eventos"
+    gold_to_documents(spark, out, docs, n_buckets=16)
+    out2 = scratch_dir(spark, "gold-exports")
+    export_csv(second, f"{out2}/{k2}", sep=";", encoding="ISO-8859-1")
+    gold_to_documents(spark, out2, docs, n_buckets=16)
+    d = spark.read.parquet(docs).drop("_bucket")
+    return flatten_documents(d)

@@ -39,7 +39,9 @@ rows2 AS (
   SELECT *, '{EVENT_URL_BASE}' || CAST(l_orderkey AS VARCHAR) AS url,
          lpad(CAST(ev_hour AS VARCHAR), 2, '0') || ':' || lpad(CAST(ev_min AS VARCHAR), 2, '0') AS hhmm,
          CASE WHEN l_linestatus = 'F' THEN 'Bronze' ELSE 'bronze' END AS root,
-         strftime(ship, '%Y-%m-%d') AS ship_s, strftime(ship, '%Y%m%d') || '-120000' AS stamp
+         strftime(ship, '%Y-%m-%d') AS ship_s, strftime(ship, '%Y%m%d') || '-120000' AS stamp,
+         strftime(date_trunc('month', ship), '%Y-%m-%d') AS month_s,
+         strftime(date_trunc('month', ship), '%Y%m%d') || '-120000' AS month_stamp
   FROM rows
 )"""
 
@@ -335,3 +337,7 @@ years AS (
 hol AS (""" + "\n  UNION ALL ".join(parts) + """
 ),
 hd AS (SELECT holiday_date, min(name) AS holiday_name FROM hol GROUP BY holiday_date)"""
+
+
+# Feeds written as monthly scrape folders (file-based queries).
+SILVER_MONTH_CTE = SILVER_CTE.replace("|| ship_s ||", "|| month_s ||").replace("|| stamp ||", "|| month_stamp ||")

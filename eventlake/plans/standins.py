@@ -87,7 +87,7 @@ def bronze_feeds(spark: SparkSession, sf_dir: str, with_keys: bool = False) -> d
     (and, with ``with_keys``, the listing's order/line/segment for page rendering)."""
     rows = listing_rows(spark, sf_dir)
     keys = [F.col("l_orderkey").alias("_order"), F.col("l_linenumber").alias("_line"),
-            F.col("c_mktsegment").alias("_segment")] if with_keys else []
+            F.col("c_mktsegment").alias("_segment"), F.col("ship").alias("_ship")] if with_keys else []
     url = F.concat(F.lit(EVENT_URL_BASE), F.col("l_orderkey").cast("string"))
     hhmm = F.concat(_two(F.col("ev_hour")), F.lit(":"), _two(F.col("ev_min")))
     seg = F.col("c_mktsegment")
@@ -289,3 +289,31 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "site", url.alias("url"), "html")
     # Stored pages arrive as many files; spread them like input splits.
     return out.repartition(n * 2, "page_id")
+
+
+# Bronze CSV tree --------------------------------------------------------------
+
+BRONZE_FOLDERS = {"sympla": "Bronze/database Sympla", "ticket360": "bronze/database Ticket360",
+                  "eventim": "Bronze/database Evetim"}
+
+
+def write_bronze_tree(spark: SparkSession, sf_dir: str, root: str, vary_headers: bool = False) -> None:
+    """Write the three feeds as scraper CSV files: ``<root>/<folder>/date=<month start>/*.csv``.
+    With ``vary_headers`` half of the second feed's files use another column order
+    (under the other case variant of the root)."""
+    from eventlake.schemas import FEED_SCHEMAS
+    from eventlake.sinks.files import rename_partition_dirs, write_bronze
+    feeds = bronze_feeds(spark, sf_dir, with_keys=True)
+    for feed, df in feeds.items():
+        cols = [f.name for f in FEED_SCHEMAS[feed].fields]
+        # One scrape folder per month (a real Bronze prefix holds a few runs).
+        df = df.withColumn("_day", F.trunc("_ship", "month").cast("string"))
+        folder = BRONZE_FOLDERS[feed]
+        if vary_headers and feed == "ticket360":
+            odd = F.col("_order") % 2 == 1
+            write_bronze(df.filter(~odd), root, folder, cols, "_day")
+            write_bronze(df.filter(odd), root, "Bronze/database Ticket360", list(reversed(cols)), "_day")
+            rename_partition_dirs(spark, f"{root}/Bronze/database Ticket360")
+        else:
+            write_bronze(df, root, folder, cols, "_day")
+        rename_partition_dirs(spark, f"{root}/{folder}")
