@@ -730,3 +730,29 @@ def gold_csv_roundtrip(spark, sf_dir):
     gold_to_documents(spark, out2, docs, n_buckets=16)
     d = spark.read.parquet(docs).drop("_bucket")
     return flatten_documents(d)
+
+
+# --- models (rows-only checks) -----------------------------------------------------
+
+@register("ml_7_30")
+def ml_7_30(spark, sf_dir):
+    """L3 buy-within-7/30-days classifiers (logistic regression, time split at the
+    last third of the cutoffs); scores for the held-out cutoffs."""
+    from eventlake.operators.ml import purchase_horizon_model
+    p = _purchases(spark, sf_dir)
+    cuts, as_of = _cutoffs(p)
+    split = str(cuts[(2 * len(cuts)) // 3])
+    scores, _ = purchase_horizon_model(p, cuts, split, as_of)
+    return _dates_to_str(scores)
+
+
+@register("ml_route")
+def ml_route(spark, sf_dir):
+    """R4 next-route classifier (random forest over route + client history, top-20
+    classes, time split); predictions for the held-out purchases."""
+    from eventlake.operators.ml import next_route_model
+    p = _purchases(spark, sf_dir)
+    r = p.agg(F.min(F.to_date("purchased_at")), F.max(F.to_date("purchased_at"))).first()
+    split = str(r[0] + (r[1] - r[0]) * 3 // 4)
+    pred, _ = next_route_model(p, split)
+    return pred
