@@ -79,22 +79,19 @@ def unify(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-SURVIVOR_ORDER = [
-    F.col("ingest_date").desc_nulls_last(),
-    F.col("source").asc_nulls_last(),
-    F.col("src_file").asc_nulls_last(),
-    F.col("title").asc_nulls_last(),
-    F.col("venue").asc_nulls_last(),
-    F.col("city").asc_nulls_last(),
-    F.col("event_date_text").asc_nulls_last(),
-    F.col("event_date").asc_nulls_last(),
-]
+SURVIVOR_COLUMNS = ["source", "src_file", "title", "venue", "city", "event_date_text", "event_date"]
+
+
+def survivor_order() -> list[Column]:
+    """Latest ingest date first, then the remaining columns ascending (nulls last)."""
+    return ([F.col("ingest_date").desc_nulls_last()]
+            + [F.col(c).asc_nulls_last() for c in SURVIVOR_COLUMNS])
 
 
 def dedupe_events(df: DataFrame) -> DataFrame:
     """Keep rows with a non-empty URL, one per URL (deterministic survivor)."""
     usable = df.filter(F.col("event_url").isNotNull() & (F.length("event_url") > 0))
-    return first_by_order(usable, ["event_url"], SURVIVOR_ORDER)
+    return first_by_order(usable, ["event_url"], survivor_order())
 
 
 def build_silver(feeds: dict[str, DataFrame], run_date: str | None = None,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.text import decoded_path
 from eventlake.operators.serve import build_documents, normalise_rows
-from eventlake.operators.silver import SURVIVOR_ORDER, map_feed
+from eventlake.operators.silver import map_feed, survivor_order
 from eventlake.schemas import FEED_SCHEMAS
 from eventlake.sinks.tables import dedupe_merge, set_merge, upsert_buckets
 from eventlake.sources.feeds import existing_paths, feed_paths
@@ -58,7 +58,7 @@ def start_silver_stream(spark: SparkSession, root: str, table_path: str, checkpo
     src = silver_input(spark, root, archive_dir, **options)
     if src is None:
         return None
-    merge = dedupe_merge(SURVIVOR_ORDER, "event_url")
+    merge = dedupe_merge(survivor_order(), "event_url")
 
     def batch(df, epoch_id):
         usable = df.filter(F.col("event_url").isNotNull() & (F.length("event_url") > 0))
