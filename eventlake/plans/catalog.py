@@ -756,3 +756,55 @@ def ml_route(spark, sf_dir):
     split = str(r[0] + (r[1] - r[0]) * 3 // 4)
     pred, _ = next_route_model(p, split)
     return pred
+
+
+@register("sql_functions", ORACLE["pt_date_parse"])
+def sql_functions(spark, sf_dir):
+    """V1: the parser as SQL functions (``to_ts_any``, ``ingest_date_from_path``)
+    used from ``spark.sql`` over the three feeds."""
+    from eventlake.functions.sql import register_sql_functions
+    apply_defaults(spark)
+    register_sql_functions(spark)
+    feeds = standins.bronze_feeds(spark, sf_dir)
+    u = (feeds["sympla"].select(F.lit("sympla").alias("source"), "date", "src_file")
+         .unionByName(feeds["ticket360"].select(F.lit("ticket360").alias("source"), "date", "src_file"))
+         .unionByName(feeds["eventim"].select(F.lit("eventim").alias("source"), "date", "src_file")))
+    u.createOrReplaceTempView("eventlake_feed_dates")
+    return spark.sql("""
+        SELECT source, count(*) AS n_rows, count(ts) AS n_parsed,
+               date_format(min(ts), 'yyyy-MM-dd HH:mm:ss') AS min_ts,
+               date_format(max(ts), 'yyyy-MM-dd HH:mm:ss') AS max_ts,
+               count(DISTINCT ts) AS n_distinct_ts
+        FROM (SELECT source, to_ts_any(date, year(to_date(ingest_date_from_path(src_file, NULL)))) AS ts
+              FROM eventlake_feed_dates)
+        GROUP BY source""")
+
+
+
+TABLE_KEYS = {'orders': ['o_orderkey'], 'customer': ['c_custkey'], 'part': ['p_partkey'], 'supplier': ['s_suppkey'], 'lineitem': ['l_orderkey', 'l_linenumber'], 'events': ['event_id'], 'pages': ['page_id'], 'documents': ['doc_id'], 'conversations': ['conv_id', 'turn']}
+
+
+@register("table_checks", """
+SELECT 'orders' AS name, 'o_orderkey' AS keys, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN o_orderkey IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_keys, CAST(count(*) FILTER (WHERE NOT (o_orderkey IS NULL) AND n > 1) AS BIGINT) AS dup_keys FROM (SELECT o_orderkey, count(*) AS n FROM orders GROUP BY o_orderkey)
+UNION ALL
+SELECT 'customer' AS name, 'c_custkey' AS keys, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN c_custkey IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_keys, CAST(count(*) FILTER (WHERE NOT (c_custkey IS NULL) AND n > 1) AS BIGINT) AS dup_keys FROM (SELECT c_custkey, count(*) AS n FROM customer GROUP BY c_custkey)
+UNION ALL
+SELECT 'part' AS name, 'p_partkey' AS keys, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN p_partkey IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_keys, CAST(count(*) FILTER (WHERE NOT (p_partkey IS NULL) AND n > 1) AS BIGINT) AS dup_keys FROM (SELECT p_partkey, count(*) AS n FROM part GROUP BY p_partkey)
+UNION ALL
+SELECT 'supplier' AS name, 's_suppkey' AS keys, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN s_suppkey IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_keys, CAST(count(*) FILTER (WHERE NOT (s_suppkey IS NULL) AND n > 1) AS BIGINT) AS dup_keys FROM (SELECT s_suppkey, count(*) AS n FROM supplier GROUP BY s_suppkey)
+UNION ALL
+SELECT 'lineitem' AS name, 'l_orderkey,l_linenumber' AS keys, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN l_orderkey IS NULL OR l_linenumber IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_keys, CAST(count(*) FILTER (WHERE NOT (l_orderkey IS NULL OR l_linenumber IS NULL) AND n > 1) AS BIGINT) AS dup_keys FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)
+UNION ALL
+SELECT 'events' AS name, 'event_id' AS keys, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN event_id IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_keys, CAST(count(*) FILTER (WHERE NOT (event_id IS NULL) AND n > 1) AS BIGINT) AS dup_keys FROM (SELECT event_id, count(*) AS n FROM events GROUP BY event_id)
+UNION ALL
+SELECT 'pages' AS name, 'page_id' AS keys, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN page_id IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_keys, CAST(count(*) FILTER (WHERE NOT (page_id IS NULL) AND n > 1) AS BIGINT) AS dup_keys FROM (SELECT page_id, count(*) AS n FROM pages GROUP BY page_id)
+UNION ALL
+SELECT 'documents' AS name, 'doc_id' AS keys, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN doc_id IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_keys, CAST(count(*) FILTER (WHERE NOT (doc_id IS NULL) AND n > 1) AS BIGINT) AS dup_keys FROM (SELECT doc_id, count(*) AS n FROM documents GROUP BY doc_id)
+UNION ALL
+SELECT 'conversations' AS name, 'conv_id,turn' AS keys, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN conv_id IS NULL OR turn IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_keys, CAST(count(*) FILTER (WHERE NOT (conv_id IS NULL OR turn IS NULL) AND n > 1) AS BIGINT) AS dup_keys FROM (SELECT conv_id, turn, count(*) AS n FROM conversations GROUP BY conv_id, turn)""")
+def table_checks_q(spark, sf_dir):
+    """G4 output validation over the driver tables: rows, null keys, duplicate keys
+    (A1 counts)."""
+    from eventlake.operators.quality import table_checks
+    apply_defaults(spark)
+    return table_checks({t: (standins.table(spark, sf_dir, t), k) for t, k in TABLE_KEYS.items()})
