@@ -107,30 +107,61 @@ def holiday_features(purchases: DataFrame, holidays: DataFrame, start, end) -> D
 
 def band_counts(events: DataFrame, anchor_type: str, counted_type: str, before_s: int,
                 user: str = "user_id", ts: str = "ts", kind: str = "event_type",
-                event_id: str = "event_id", out: str = "n_in_band",
+                event_id: str = "event_id", out: str = "n_in_band", after_s: int = 0,
                 n_partitions: int | None = None) -> DataFrame:
-    """Per ``anchor_type`` event: count of ``counted_type`` events of the same user
-    with ``t - before_s <= ts <= t``."""
-    t = F.col(ts).cast("timestamp")
-    counted = events.filter(F.col(kind) == counted_type).select(
-        F.col(user).alias("_u"), t.alias("_t"), F.lit(0).alias("_rank"),
-        F.col(event_id).alias("_id"), F.lit(1).alias("_w"), F.lit(None).cast("long").alias("_anchor"),
-        F.lit(None).cast("string").alias("_side"))
+    """Per ``anchor_type`` event: count of ``counted_type`` events with the same
+    ``user`` key and ``t - before_s <= ts <= t + after_s``."""
     anchors = events.filter(F.col(kind) == anchor_type).select(
-        F.col(user).alias("_u"), t.alias("_t"), F.col(event_id).alias("_id"))
-    # Upper probe sorts after counted rows at the same instant (inclusive);
-    # lower probe at t - before sorts before them (so those stay counted).
-    upper = anchors.select("_u", "_t", F.lit(1).alias("_rank"), "_id", F.lit(0).alias("_w"),
-                           F.col("_id").alias("_anchor"), F.lit("hi").alias("_side"))
-    lower = anchors.select("_u", (F.col("_t") - F.expr(f"INTERVAL {int(before_s)} SECONDS")).alias("_t"),
-                           F.lit(-1).alias("_rank"), "_id", F.lit(0).alias("_w"),
-                           F.col("_id").alias("_anchor"), F.lit("lo").alias("_side"))
-    stream = counted.unionByName(upper).unionByName(lower)
-    run = with_running_sum(stream, "_u", ["_t", "_rank", "_id", "_side"], "_w", "_cum",
+        F.col(event_id).alias("_aid"), F.col(user).alias("_k"), F.col(ts).cast("timestamp").alias("_t"))
+    counted = events.filter(F.col(kind) == counted_type).select(
+        F.col(event_id).alias("_cid"), F.col(user).alias("_k"), F.col(ts).cast("timestamp").alias("_t"))
+    res = keyed_band_counts(anchors, counted, before_s, after_s, n_partitions)
+    a = events.filter(F.col(kind) == anchor_type).select(F.col(event_id), F.col(user), F.col(ts))
+    return a.join(res, a[event_id] == res["_aid"]).select(event_id, user, ts, F.col("_n").alias(out))
+
+
+def keyed_band_counts(anchors: DataFrame, counted: DataFrame, before_s: int, after_s: int = 0,
+                      n_partitions: int | None = None) -> DataFrame:
+    """``anchors(_aid, _k, _t)``, ``counted(_cid, _k, _t)`` -> ``(_aid, _n)``: counted
+    rows with the same key and ``_t`` in ``[t - before_s, t + after_s]``.
+
+    One ordered stream per key holds the counted rows (weight 1) and two probes
+    per anchor (weight 0); ``_n`` = running count at the upper probe minus the
+    running count at the lower one.  Probes sort after/before counted rows at
+    the same instant so both bounds are inclusive.  Anchors with a null key or
+    time count 0."""
+    c = counted.filter(F.col("_k").isNotNull() & F.col("_t").isNotNull()).select(
+        "_k", "_t", F.lit(0).alias("_rank"), F.col("_cid").cast("string").alias("_id"),
+        F.lit(1).alias("_w"), F.lit(None).cast("string").alias("_anchor"), F.lit("").alias("_side"))
+    a = anchors.filter(F.col("_k").isNotNull() & F.col("_t").isNotNull())
+    hi = a.select("_k", (F.col("_t") + F.expr(f"INTERVAL {int(after_s)} SECONDS")).alias("_t"),
+                  F.lit(1).alias("_rank"), F.col("_aid").cast("string").alias("_id"), F.lit(0).alias("_w"),
+                  F.col("_aid").cast("string").alias("_anchor"), F.lit("hi").alias("_side"))
+    lo = a.select("_k", (F.col("_t") - F.expr(f"INTERVAL {int(before_s)} SECONDS")).alias("_t"),
+                  F.lit(-1).alias("_rank"), F.col("_aid").cast("string").alias("_id"), F.lit(0).alias("_w"),
+                  F.col("_aid").cast("string").alias("_anchor"), F.lit("lo").alias("_side"))
+    stream = c.unionByName(hi).unionByName(lo)
+    run = with_running_sum(stream, "_k", ["_t", "_rank", "_id", "_side"], "_w", "_cum",
                            n_partitions=n_partitions)
     probes = run.filter(F.col("_anchor").isNotNull()).groupBy("_anchor").agg(
-        F.max(F.when(F.col("_side") == "hi", F.col("_cum"))).alias("_hi"),
-        F.max(F.when(F.col("_side") == "lo", F.col("_cum"))).alias("_lo"))
-    a = events.filter(F.col(kind) == anchor_type).select(F.col(event_id), F.col(user), F.col(ts))
-    return a.join(probes, a[event_id] == probes["_anchor"]).select(
-        event_id, user, ts, (F.col("_hi") - F.col("_lo")).cast("long").alias(out))
+        (F.max(F.when(F.col("_side") == "hi", F.col("_cum")))
+         - F.max(F.when(F.col("_side") == "lo", F.col("_cum")))).cast("long").alias("_n"))
+    ids = anchors.select(F.col("_aid"), F.col("_aid").cast("string").alias("_anchor"))
+    return ids.join(probes, "_anchor", "left").select("_aid", F.coalesce("_n", F.lit(0)).alias("_n"))
+
+
+def event_proximity_counts(purchases: DataFrame, events: DataFrame, days_before: int = 30,
+                           days_after: int = 30, n_partitions: int | None = None) -> DataFrame:
+    """Per purchase, listed events in the purchase's destination city in the
+    ``days_before`` days up to the purchase and in the ``days_after`` days after it.
+    ``events`` are Silver rows (``event_url, city, event_date``)."""
+    anchors = purchases.select(F.col("purchase_id").alias("_aid"), F.col("destination").alias("_k"),
+                               F.col("purchased_at").cast("timestamp").alias("_t"))
+    counted = events.select(F.col("event_url").alias("_cid"), F.trim("city").alias("_k"),
+                            F.col("event_date").alias("_t"))
+    day = 86400
+    before = keyed_band_counts(anchors, counted, days_before * day, 0, n_partitions) \
+        .withColumnRenamed("_n", f"events_prev_{days_before}d")
+    after = keyed_band_counts(anchors, counted, 0, days_after * day, n_partitions) \
+        .withColumnRenamed("_n", f"events_next_{days_after}d")
+    return before.join(after, "_aid").withColumnRenamed("_aid", "purchase_id")

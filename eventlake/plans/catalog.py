@@ -808,3 +808,23 @@ def table_checks_q(spark, sf_dir):
     from eventlake.operators.quality import table_checks
     apply_defaults(spark)
     return table_checks({t: (standins.table(spark, sf_dir, t), k) for t, k in TABLE_KEYS.items()})
+
+
+@register("purchase_event_proximity", O.with_(O.PURCHASES_CTE + "," + O.SILVER_CTE, """
+SELECT p.purchase_id,
+  (SELECT count(*) FROM silver s WHERE trim(s.city) = p.destination AND s.event_date IS NOT NULL
+     AND s.event_date >= p.purchased_at - INTERVAL 30 DAY AND s.event_date <= p.purchased_at) AS events_prev_30d,
+  (SELECT count(*) FROM silver s WHERE trim(s.city) = p.destination AND s.event_date IS NOT NULL
+     AND s.event_date >= p.purchased_at AND s.event_date <= p.purchased_at + INTERVAL 30 DAY) AS events_next_30d
+FROM purchases p"""))
+def purchase_event_proximity(spark, sf_dir):
+    """J2 purchase <-> listed-event enrichment: same city (destination), events in
+    the 30 days before / after each purchase (running-count band join, no pairs);
+    K11 past/future split of the Silver events at the run date."""
+    from eventlake.operators.enrich import event_proximity_counts
+    from eventlake.operators.silver import split_by_run_date
+    p = _purchases(spark, sf_dir)
+    silver = _silver(spark, sf_dir)
+    past, future = split_by_run_date(silver, "1998-08-02")
+    events = past.unionByName(future)
+    return event_proximity_counts(p, events, 30, 30)
