@@ -35,7 +35,11 @@ def file_formats(spark: SparkSession, path: str) -> DataFrame:
                       F.when(n_comma > n_semi, ",").otherwise(";").alias("sep"))
 
 
-def read_gold_exports(spark: SparkSession, path: str, key_rx: str = r"([^/]+/[^/]+\.csv)/[^/]*$") -> DataFrame:
+# Export key of a part file: "<folder>/<name>.csv" (Spark writes an export as a directory).
+EXPORT_KEY_RE = r"([^/]+/[^/]+\.csv)/[^/]*$"
+
+
+def read_gold_exports(spark: SparkSession, path: str, key_rx: str = EXPORT_KEY_RE) -> DataFrame:
     """All exported gold CSVs below ``path`` as normalised rows + ``source_key``."""
     groups = (file_formats(spark, path).groupBy("encoding", "sep")
               .agg(F.collect_list("file").alias("files")).collect())  # <= a few groups

@@ -21,6 +21,7 @@ from eventlake.functions.text import decoded_path
 from eventlake.operators.serve import build_documents, normalise_rows
 from eventlake.operators.silver import map_feed, survivor_order
 from eventlake.schemas import FEED_SCHEMAS
+from eventlake.sources.documents import EXPORT_KEY_RE
 from eventlake.sinks.tables import dedupe_merge, set_merge, upsert_buckets
 from eventlake.sources.feeds import existing_paths, feed_paths
 
@@ -79,7 +80,7 @@ def start_documents_stream(spark: SparkSession, exports: str, docs_path: str, ch
     merge = set_merge("_id")
 
     def batch(df, epoch_id):
-        key = F.regexp_extract("_file", r"([^/]+\.csv)/[^/]*$", 1)
+        key = F.regexp_extract(decoded_path(F.col("_file")), EXPORT_KEY_RE, 1)
         docs = build_documents(normalise_rows(df.withColumn("_k", key).drop("_file")), F.col("_k"))
         upsert_buckets(df.sparkSession, docs_path, docs, "_id", merge, n_buckets)
 
