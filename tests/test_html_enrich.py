@@ -87,3 +87,17 @@ def test_band_counts_against_brute_force(spark):
         ref = sum(1 for _, t2, u2, k2 in rows if u2 == user and k2 == "error"
                   and ts - dt.timedelta(seconds=86400) <= t2 <= ts)
         assert got[eid] == ref
+
+
+def test_category_and_nav_links(spark):
+    from eventlake.sources.html import category_links, nav_data_links
+    html = ('<a href="/categoria/shows?x=1">a</a><a href="/local/sp">b</a><a href="/evento/1">c</a>'
+            '<ul aria-label="Todos os eventos"><li><div class="js-nav-sub-trigger x" data-href="/rock">r</div>'
+            '<div class="other" data-href="/no">n</div><div data-href="/pop" class="js-nav-sub-trigger">p'
+            '</div><div class="js-nav-sub-trigger" data-href="/rock">again</div></li></ul>'
+            '<div class="js-nav-sub-trigger" data-href="/outside">o</div>')
+    pages = spark.createDataFrame([(1, "https://t.com/home?p=1", html)], "page_id long, url string, html string")
+    assert sorted(r["link"] for r in category_links(pages).collect()) == [
+        "https://t.com/categoria/shows", "https://t.com/local/sp"]
+    assert sorted((r["link"], r["pos"]) for r in nav_data_links(pages).collect()) == [
+        ("https://t.com/pop", 3), ("https://t.com/rock", 1)]
