@@ -152,19 +152,24 @@ def _as_of(purchases) -> str:
 
 
 def _dates_to_str(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast("string").alias(c) if t == "date" else F.col(c)
-                       for c, t in df.dtypes])
+    """Query outputs: dates as ``yyyy-MM-dd`` strings, exact money decimals as
+    doubles (the cast of an exact decimal is the same double in every engine)."""
+    return df.select(*[F.col(c).cast("string").alias(c) if t == "date"
+                       else F.col(c).cast("double").alias(c) if t.startswith("decimal")
+                       else F.col(c) for c, t in df.dtypes])
 
 
 @register("client_totals", O.with_(O.FEATURES_CTE, """
-SELECT client_id, qtd_compras, gmv_total, first_purchase, last_purchase FROM features"""))
+SELECT client_id, qtd_compras, CAST(gmv_total AS DOUBLE) AS gmv_total, first_purchase, last_purchase
+FROM features"""))
 def client_totals_q(spark, sf_dir):
     """A4 per-client purchase count, exact GMV, first/last purchase."""
     from eventlake.operators.clients import client_totals
     return _dates_to_str(client_totals(_purchases(spark, sf_dir)))
 
 
-@register("client_features", O.with_(O.FEATURES_CTE, "SELECT * FROM features"))
+@register("client_features", O.with_(O.FEATURES_CTE,
+                                    "SELECT * REPLACE (CAST(gmv_total AS DOUBLE) AS gmv_total) FROM features"))
 def client_features_q(spark, sf_dir):
     """A8 features + G1/G2 segments + modal route per client."""
     from eventlake.operators.clients import client_features
@@ -259,7 +264,8 @@ hits AS (
   FROM purchases p JOIN cuts k ON p.d > k.cutoff AND p.d <= k.cutoff + INTERVAL 30 DAY
   GROUP BY p.client_id, k.cutoff
 )""", """
-SELECT f.client_id, CAST(f.cutoff AS VARCHAR) AS cutoff, n_purchases, gmv_before, days_since_last,
+SELECT f.client_id, CAST(f.cutoff AS VARCHAR) AS cutoff, n_purchases, CAST(gmv_before AS DOUBLE) AS gmv_before,
+       days_since_last,
        CASE WHEN h.n_in_horizon > 0 THEN 1
             WHEN f.cutoff + INTERVAL 30 DAY <= (SELECT as_of FROM as_of) THEN 0 END AS label
 FROM feats f LEFT JOIN hits h ON f.client_id = h.client_id AND f.cutoff = h.cutoff"""))
