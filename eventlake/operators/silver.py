@@ -45,7 +45,11 @@ def map_feed(df: DataFrame, feed: str, run_date: str | None = None, *,
     if not has_required(df, feed):
         return empty_std(df.sparkSession)
     src = file_col if file_col is not None else F.col("src_file")
-    ingest = ingest_date_from_path(src, run_date)
+    # Ingest date in its own projection: the parser below reads it as a column,
+    # so its path regexes run once per row (Catalyst does not collapse a
+    # projection when that would repeat an expensive expression).
+    df = df.withColumn("_ingest", ingest_date_from_path(src, run_date))
+    ingest = F.col("_ingest")
     year = F.year(F.to_date(ingest)) if year_from_ingest else None
     if feed == "sympla":
         title, venue, city = F.col("title"), F.col("place"), F.lit(None).cast("string")
