@@ -107,14 +107,18 @@ def client_profile(clients: DataFrame, id_col: str = "client_id_seq",
     Money statistics are computed on integer cents so the mean and median are
     exact; the median is a distributed radix select (``approx`` for one pass).
     """
-    cents = clients.select((F.col("gmv_total") * 100).cast("long").alias("c"))
-    med = median(cents, "c", approx=approx)
-    agg = clients.agg(
+    # The three needed columns are materialised once; the median's radix passes
+    # and the summary aggregate both read that copy.
+    checkpoint_root(clients.sparkSession)
+    base = clients.select(F.col(id_col).alias("_id"),
+                          (F.col("gmv_total") * 100).cast("long").alias("c"),
+                          F.col("qtd_compras").alias("q")).checkpoint(eager=True)
+    med = median(base, "c", approx=approx, materialise=False)
+    agg = base.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct(id_col).alias("n_clients"),
-        (F.sum((F.col("gmv_total") * 100).cast("long")).cast("double") / F.count("gmv_total") / 100)
-        .alias("gmv_total_mean"),
-        (F.sum("qtd_compras").cast("double") / F.count("qtd_compras")).alias("qtd_compras_mean"),
+        F.count_distinct("_id").alias("n_clients"),
+        (F.sum("c").cast("double") / F.count("c") / 100).alias("gmv_total_mean"),
+        (F.sum("q").cast("double") / F.count("q")).alias("qtd_compras_mean"),
     )
     return agg.select(
         "n_rows", F.lit(len(clients.columns)).alias("n_columns"),

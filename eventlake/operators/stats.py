@@ -50,14 +50,16 @@ def kth_smallest(df: DataFrame, col: str, k: int, lo: int | None = None,
     return lo + prefix
 
 
-def median(df: DataFrame, col: str, approx: bool = False) -> float | None:
-    """Median of a long column (mean of the two middle values when n is even)."""
+def median(df: DataFrame, col: str, approx: bool = False, materialise: bool = True) -> float | None:
+    """Median of a long column (mean of the two middle values when n is even).
+    ``materialise=False`` when ``df`` is already a checkpointed/cheap frame."""
     if approx:
         return df.agg(F.percentile_approx(col, 0.5, 10000)).first()[0]
     # Several passes follow: materialise the single column once (shared
     # checkpoint folder) instead of recomputing the upstream plan per pass.
-    checkpoint_root(df.sparkSession)
-    df = df.select(F.col(col).cast("long").alias(col)).checkpoint(eager=True)
+    if materialise:
+        checkpoint_root(df.sparkSession)
+        df = df.select(F.col(col).cast("long").alias(col)).checkpoint(eager=True)
     r = df.agg(F.count(col), F.min(col), F.max(col)).first()
     n, lo, hi = r[0], r[1], r[2]
     if not n:
