@@ -101,3 +101,22 @@ def test_category_and_nav_links(spark):
         "https://t.com/categoria/shows", "https://t.com/local/sp"]
     assert sorted((r["link"], r["pos"]) for r in nav_data_links(pages).collect()) == [
         ("https://t.com/pop", 3), ("https://t.com/rock", 1)]
+
+
+def test_two_sided_keyed_band_counts(spark):
+    import random
+    from eventlake.operators.enrich import keyed_band_counts
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 1, 1)
+    anchors = [(i, "hot" if i % 3 == 0 else rnd.choice("abcd"), base + dt.timedelta(hours=rnd.randint(0, 200)))
+               for i in range(300)]
+    counted = [(f"c{i}", "hot" if i % 2 == 0 else rnd.choice("abcd"), base + dt.timedelta(hours=rnd.randint(0, 200)))
+               for i in range(900)]
+    a = spark.createDataFrame(anchors + [(999, None, base)], "_aid long, _k string, _t timestamp")
+    c = spark.createDataFrame(counted, "_cid string, _k string, _t timestamp")
+    got = {r["_aid"]: r["_n"] for r in keyed_band_counts(a, c, 6 * 3600, 12 * 3600, n_partitions=5).collect()}
+    for aid, k, t in anchors:
+        ref = sum(1 for _, k2, t2 in counted
+                  if k2 == k and t - dt.timedelta(hours=6) <= t2 <= t + dt.timedelta(hours=12))
+        assert got[aid] == ref
+    assert got[999] == 0
