@@ -28,6 +28,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Remove checkpoint files of lineage cuts once their RDDs are unreachable.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
