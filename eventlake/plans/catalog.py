@@ -406,8 +406,8 @@ SELECT src_uri, bucket, object_key,
          || '/' || regexp_extract(object_key, '([^/]*)$', 1) AS archive_key
 FROM keys"""))
 def path_lineage(spark, sf_dir):
-    """S4/B18 decoded file URIs; X17 bucket/key split; X14 source; X1 ingest date;
-    X15 date prefix; X16 archive key; D3 distinct source files."""
+    """B18 percent-decoded object URIs; X17 bucket/key split; X14 source; X1 ingest
+    date; X15 date prefix; X16 archive key; D3 distinct source files."""
     from eventlake.functions import text as X
     from eventlake.functions.dates import ingest_date_from_path
     apply_defaults(spark)
@@ -686,7 +686,7 @@ _SILVER_KEYS_SQL = O.with_(O.SILVER_MONTH_CTE, "SELECT event_url, source, ingest
 
 @register("bronze_csv_ingest", _SILVER_KEYS_SQL)
 def bronze_csv_ingest(spark, sf_dir):
-    """S1-S4/S12 recursive CSV feed reading (case variants, misspelt folder, B19
+    """S1/S3/S4/S12 recursive CSV feed reading (case variants, misspelt folder, B19
     header groups, lineage from the file path), K5 Bronze layout, then U1/F1/D1
     into a keyed Silver table (K1/K6 bucketed upsert)."""
     from eventlake.plans.jobs import bronze_to_silver
@@ -701,8 +701,9 @@ def bronze_csv_ingest(spark, sf_dir):
 
 @register("stream_ingest", _SILVER_KEYS_SQL)
 def stream_ingest(spark, sf_dir):
-    """T1 incremental file-stream ingest (availableNow, checkpointed), T2 source
-    archiving, T3 continuous URL upsert via foreachBatch into the keyed Silver table."""
+    """T1 incremental file-stream ingest (availableNow, checkpointed), T3 URL upsert
+    via foreachBatch into the keyed Silver table.  T2 archiving is configured
+    (``cleanSource=archive``); Spark moves a file once a later batch commits."""
     from eventlake.session import scratch_dir
     from eventlake.streaming.ingest import start_silver_stream
     apply_defaults(spark)
