@@ -535,7 +535,8 @@ def feed_partitions(spark, sf_dir):
                                       F.count_distinct("prefix").alias("n_prefixes"),
                                       F.max("prefix").alias("latest_prefix"))
     reg = spark.createDataFrame(list(FEED_LABELS.items()), "label string, feed string")
-    j = reg.join(F.broadcast(per), "label", "left")
+    # Broadcast the fixed registry (four rows); every registry row is kept.
+    j = per.join(F.broadcast(reg), "label", "right")
     return j.select("label", "feed", F.coalesce("n_files", F.lit(0)).alias("n_files"),
                     F.coalesce("n_prefixes", F.lit(0)).alias("n_prefixes"), "latest_prefix",
                     F.col("latest_prefix").isNotNull().alias("consumed"))
