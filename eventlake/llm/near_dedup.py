@@ -9,12 +9,13 @@ exact Jaccard similarity of the full sets confirms.
 A list longer than ``LONG`` (a passage many documents share, a large family of copies) emits no
 pairs of its own.  A pair that such lists alone connect has frequent values among at least a
 third of either sketch; those documents alone are ranked again by re-mixed values of the same
-hash, in bands, and each band's list is worked off by leaders: one member is compared with all
-members outside its component, components grow, and so on until each component of the list
-has led.  So work is in proportion to the members, not to their pairs, for the first
-members of a family already join it.  What remains is compared across components.
+hash, in bands.  A band's short list emits its pairs; a long one is worked off by leaders: the
+first members of its ``LED`` first components are compared with all members of other
+components, components grow, and so on with four times as many, until all have led or so few
+members are left that each can be compared.  So work is in proportion to the members, not to their pairs, for the
+first members of a family already join it.  What remains is compared across components.
 
-Verified links form components; only links that could join two components are verified.
+Verified links form components; only pairs that lie in two components are verified.
 
 A pair at the threshold is missed with a probability below 1e-6: its sketches share too few of
 the ``LISTED`` smallest values, or no band.  Sets are of 64-bit hashes.
@@ -29,13 +30,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from eventlake.llm.common import bounded_batches, connected_components, cut, table
 
 WORDS, PERCENT = 5, 80
 SKETCH, LISTED, LONG = 64, 24, 64
-BANDS, BAND_VALUES = 40, 4
+BANDS, BAND_VALUES, LED = 88, 8, 4
 
 
 def text_words(raw: bytes | None) -> list[bytes]:
@@ -142,8 +143,11 @@ def bands(sets: DataFrame) -> DataFrame:
             nodes, values = [], []
             for node, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 hashes = np.frombuffer(raw, np.int64).astype(np.uint64)
+                least = np.full(len(odd), np.iinfo(np.uint64).max, np.uint64)
                 with np.errstate(over="ignore"):
-                    least = np.array([((hashes ^ f) * o >> np.uint64(1)).min() for f, o in zip(flip, odd)], np.uint64).reshape(BANDS, BAND_VALUES)
+                    for part in np.array_split(hashes, -(-len(hashes) // 256)):  # bounded memory for very long texts
+                        least = np.minimum(least, ((part[None, :] ^ flip[:, None]) * odd[:, None] >> np.uint64(1)).min(axis=1))
+                least = least.reshape(BANDS, BAND_VALUES)
                 nodes += [node] * BANDS
                 values += [xxhash.xxh3_64_intdigest(row.tobytes(), seed=i) >> 1 for i, row in enumerate(least)]
             yield pa.RecordBatch.from_arrays([pa.array(values, pa.int64()), pa.array(nodes, pa.int64())], ["value", "node"])
@@ -151,40 +155,61 @@ def bands(sets: DataFrame) -> DataFrame:
     return sets.select("node", "hashes").mapInArrow(run, "value bigint, node bigint")
 
 
-def work_off(spark: SparkSession, lists: DataFrame, edges: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``edges`` and the links found in long lists, by leaders; then across components."""
-    in_lists = cut(spark, lists.join(lists.groupBy("value").count().where("count > 1").select("value"), "value"), "near-lists")
-    led, tried = None, None
+def grow(spark: SparkSession, comp: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, comp) after ``links``: components of the old components that the links join."""
+    of = lambda x: comp.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
+    joins = cut(spark, links.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+                .where("a <> b").distinct(), "near-joins")
+    if not joins.limit(1).count():
+        return comp
+    up = connected_components(spark, joins).select(F.col("id").alias("comp"), "component")
+    return cut(spark, comp.join(up, "comp", "left").select("node", F.coalesce("component", "comp").alias("comp")), "near-comp")
+
+
+def across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs whose nodes lie in two components."""
+    of = lambda x: comp.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").where("ca <> cb").select("a", "b")
+
+
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def work_off(spark: SparkSession, lists: DataFrame, comp: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``comp`` after the links within long lists: by leaders, then across components."""
+    led = tried = None
+    quota = LED
     while True:
-        comp = connected_components(spark, edges)
-        placed = cut(spark, in_lists.join(comp.withColumnRenamed("id", "node"), "node", "left")
-                     .select("value", "node", F.coalesce("component", "node").alias("comp")), "near-placed")
+        placed = cut(spark, lists.join(comp, "node"), "near-placed")
         several = placed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
         open_ = placed.join(several, "value")
         if led is not None:
             done = led.join(placed, ["value", "node"]).select("value", "comp").distinct()
             open_ = open_.join(done, ["value", "comp"], "left_anti")
-        leaders = cut(spark, open_.groupBy("value").agg(F.min(F.struct("node", "comp")).alias("l"))
-                      .select("value", F.col("l.node").alias("node"), F.col("l.comp").alias("comp")), "near-leaders")
+        first = open_.groupBy("value", "comp").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("members"))
+        by = Window.partitionBy("value")
+        first = first.withColumn("rank", F.row_number().over(by.orderBy("node"))).withColumn("left", F.sum("members").over(by))
+        few = first.where(F.col("left") <= LONG).select("value", "comp")
+        leaders = cut(spark, first.where((F.col("left") > LONG) & (F.col("rank") <= quota)).select("value", "node", "comp")
+                      .unionByName(open_.join(few, ["value", "comp"]).select("value", "node", "comp")), "near-leaders")
         if not leaders.limit(1).count():
             break
-        pairs = (placed.alias("m").join(leaders.alias("l"), F.expr("m.value = l.value and m.comp <> l.comp"))
-                 .select(F.expr("least(m.node, l.node)").alias("a"), F.expr("greatest(m.node, l.node)").alias("b")).distinct())
+        pairs = ordered(placed.alias("m").join(leaders.alias("l"), F.expr("m.value = l.value and m.comp <> l.comp"))
+                        .select(F.col("m.node").alias("x"), F.col("l.node").alias("y")))
         pairs = cut(spark, pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "near-led-pairs")
-        edges = cut(spark, edges.unionByName(verify(pairs, sketch, sets, percent)), "near-edges")
+        comp = grow(spark, comp, verify(pairs, sketch, sets, percent))
         led = leaders.select("value", "node") if led is None else led.unionByName(leaders.select("value", "node"))
         tried = pairs if tried is None else tried.unionByName(pairs)
+        quota *= 4  # the first leaders join most of a family; those after them find little
+    if led is None:
+        return comp
     # Members that never led, of components that meet in a list but are still apart.
-    rest = open_rest = placed.join(several, "value")
-    if led is not None:
-        rest = open_rest.join(led, ["value", "node"], "left_anti")
-    rest = cut(spark, rest, "near-rest")
-    if not rest.limit(1).count():
-        return edges
-    pairs = (rest.alias("x").join(rest.alias("y"), F.expr("x.value = y.value and x.comp < y.comp"))
-             .select(F.expr("least(x.node, y.node)").alias("a"), F.expr("greatest(x.node, y.node)").alias("b")).distinct())
-    pairs = pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs
-    return cut(spark, edges.unionByName(verify(pairs, sketch, sets, percent)), "near-edges")
+    rest = cut(spark, placed.join(several, "value").join(led, ["value", "node"], "left_anti"), "near-rest")
+    pairs = ordered(rest.alias("m").join(rest.alias("l"), F.expr("m.value = l.value and m.comp < l.comp"))
+                    .select(F.col("m.node").alias("x"), F.col("l.node").alias("y"))).join(tried, ["a", "b"], "left_anti")
+    pairs = cut(spark, pairs, "near-rest-pairs")
+    return grow(spark, comp, verify(pairs, sketch, sets, percent)) if pairs.limit(1).count() else comp
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -209,29 +234,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     & (3 * (F.col("shared") + F.least("oftena", "oftenb")) >= F.least(F.greatest("na", "nb"), F.lit(LISTED))))
              .select("a", "b"))
     pairs = cut(spark, pairs, "near-pairs")
-    hot = info.where("often * 3 >= listed").select("node")
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(hot).distinct()
-    sets = cut(spark, full_sets(docs, info.join(needed, "node").select("node", "rep", "cls"), id_col, text_col, words), "near-sets")
+    hot = cut(spark, info.where("often * 3 >= listed").select("node"), "near-hot")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(hot).distinct()
+    sets = cut(spark, full_sets(docs, info.join(nodes, "node").select("node", "rep", "cls"), id_col, text_col, words), "near-sets")
     # First each node with its least partner, then whatever pairs still lie in two components.
-    first = pairs.groupBy("b").agg(F.min("a").alias("a"))
-    edges = cut(spark, verify(first, sketch, sets, percent), "near-edges")
-    comp = connected_components(spark, edges)
-    apart = (pairs.join(first, ["a", "b"], "left_anti")
-             .join(comp.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
-             .join(comp.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
-             .where("coalesce(ca, a) <> coalesce(cb, b)"))
-    edges = cut(spark, edges.unionByName(verify(apart, sketch, sets, percent)), "near-edges")
-    edges = work_off(spark, bands(sets.join(hot, "node")), edges, sketch, sets, percent)
+    first = cut(spark, pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "near-first")
+    comp = connected_components(spark, verify(first, sketch, sets, percent)).select(F.col("id").alias("node"), F.col("component").alias("comp"))
+    comp = cut(spark, sets.select("node").join(comp, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "near-comp")
+    more = pairs.join(first, ["a", "b"], "left_anti")
+    some_hot = hot.limit(1).count() > 0
+    if some_hot:
+        banded = cut(spark, bands(sets.join(hot, "node")), "near-bands")
+        sizes = cut(spark, banded.groupBy("value").count().where("count > 1"), "near-band-sizes")
+        banded = cut(spark, banded.join(sizes, "value"), "near-band-lists")
+        more = more.union(list_pairs(banded.where(F.col("count") <= LONG)).select("a", "b").join(first, ["a", "b"], "left_anti")).distinct()
+    comp = grow(spark, comp, verify(across(more, comp), sketch, sets, percent))
+    if some_hot:
+        comp = work_off(spark, banded.where(F.col("count") > LONG).select("value", "node"), comp, sketch, sets, percent)
     # From nodes to ids; an id with several texts joins their classes.
-    names = info.select("node", "rep")
-    linked = (edges.join(names.select(F.col("node").alias("a"), F.col("rep").alias("ra")), "a")
-              .join(names.select(F.col("node").alias("b"), F.col("rep").alias("rb")), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-    placed = cut(spark, rows.select("id", "cls", "n").join(reps.select("cls", "rep"), "cls", "left"), "near-placed")
-    multi = placed.where("rep is not null").groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("id", "lo")
-    several = placed.join(multi, "id").where("rep > lo").select(F.col("lo").alias("a"), F.col("rep").alias("b"))
-    comp = connected_components(spark, linked.unionByName(several))
-    whole = placed.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "id", "n", F.when(F.col("id").isNotNull(), F.least(F.coalesce("component", "rep", "id"), "id")).alias("component_id"))
+    named = cut(spark, comp.join(info.select("node", "rep"), "node"), "near-named")
+    top = named.groupBy("comp").agg(F.min("rep").alias("top"))
+    placed = cut(spark, rows.select("id", "cls", "n").join(reps.select("cls", "rep"), "cls", "left")
+                 .join(named.join(top, "comp").select("rep", "top").groupBy("rep").agg(F.min("top").alias("top")), "rep", "left")
+                 .select("id", "n", F.coalesce("top", "rep", "id").alias("top")), "near-tops")
+    multi = placed.where("id is not null").groupBy("id").agg(F.min("top").alias("lo"), F.max("top").alias("hi")).where("lo < hi")
+    multi = cut(spark, multi, "near-several")
+    if multi.limit(1).count():
+        joins = placed.join(multi.select("id", "lo"), "id").select(F.col("lo").alias("a"), F.col("top").alias("b"))
+        up = connected_components(spark, joins).select(F.col("id").alias("top"), "component")
+        placed = placed.join(up, "top", "left").select("id", "n", F.coalesce("component", "top").alias("top"))
+    whole = placed.select("id", "n", F.when(F.col("id").isNotNull(), F.least("top", "id")).alias("component_id"))
     return whole.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
                         F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
