@@ -29,12 +29,12 @@ EPSILON, DELTA = 0.05, 0.05
 GOOD_WEIGHT = 5
 #: Rule: (statistic, side on which it rejects, candidate cutoffs fixed before seeing labels).
 RULES = {
-    "symbols": ("1.0 * n_symbols / n_words", ">", [0.02, 0.05, 0.1, 0.2, 0.4, 0.8, 1.6]),
-    "dup_lines": ("1.0 * n_dup_lines / n_lines", ">", [0.05, 0.1, 0.2, 0.3, 0.5, 0.7]),
-    "repeats": ("1.0 * n_repeat_words / n_words", ">", [0.02, 0.05, 0.1, 0.2, 0.3, 0.4]),
-    "long_words": ("1.0 * word_chars / n_words", ">", [7.0, 8.0, 9.0, 10.0, 12.0, 15.0]),
-    "short_words": ("1.0 * word_chars / n_words", "<", [2.0, 2.5, 3.0, 3.5, 4.0]),
-    "few_kinds": ("1.0 * n_kinds / n_words", "<", [0.02, 0.05, 0.1, 0.2, 0.3]),
+    "symbols": ("try_divide(n_symbols, n_words)", ">", [0.02, 0.05, 0.1, 0.2, 0.4, 0.8, 1.6]),
+    "dup_lines": ("try_divide(n_dup_lines, n_lines)", ">", [0.05, 0.1, 0.2, 0.3, 0.5, 0.7]),
+    "repeats": ("try_divide(n_repeat_words, n_words)", ">", [0.02, 0.05, 0.1, 0.2, 0.3, 0.4]),
+    "long_words": ("try_divide(word_chars, n_words)", ">", [7.0, 8.0, 9.0, 10.0, 12.0, 15.0]),
+    "short_words": ("try_divide(word_chars, n_words)", "<", [2.0, 2.5, 3.0, 3.5, 4.0]),
+    "few_kinds": ("try_divide(n_kinds, n_words)", "<", [0.02, 0.05, 0.1, 0.2, 0.3]),
 }
 _SPACES = b" \t\n\r\x0b\x0c"
 _SYMBOLS = b"#*$%&|<>"
@@ -124,9 +124,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     stats = cut(spark, scan(docs, id_col, text_col, stratum_col), "quality-stats")
     marks = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
              .agg(F.min(label_col).alias("quality")))
-    usable = F.col("n_words") > 0
-    rejects = {r: usable & F.expr(f"{stat} {side} `cut_{r}`") for r, (stat, side, _) in rules.items()}
-    counts = [F.sum((usable & F.expr(f"{stat} {side} {at!r}D") & (F.col("quality") == value)).cast("long")).alias(f"{r}_{i}_{name}")
+    rejects = {r: F.expr(f"{stat} {side} `cut_{r}`") for r, (stat, side, _) in rules.items()}
+    counts = [F.sum((F.expr(f"{stat} {side} {at!r}D") & (F.col("quality") == value)).cast("long")).alias(f"{r}_{i}_{name}")
               for r, (stat, side, cutoffs) in rules.items() for i, at in enumerate(cutoffs)
               for name, value in (("good", 1), ("bad", 0))]
     holdout = (stats.join(marks, "id").groupBy("stratum")

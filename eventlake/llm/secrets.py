@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlake.llm.common import bounded_batches, cut, table
 
-THRESHOLD, PER_CHAR, MIN_LENGTH = 12.0, 0.5, 16
+THRESHOLD, PER_CHAR, MIN_LENGTH = 8.0, 0.25, 16
 #: Kinds in order, with their patterns and least lengths.
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
