@@ -38,7 +38,6 @@ MOVABLE_HOLIDAYS = [
     (-2, "Sexta-feira Santa", "nacional"),
     (60, "Corpus Christi", "ponto_facultativo"),
 ]
-MAX_CALENDAR_DAYS = 200_000
 
 
 def easter_sunday(year: F.Column) -> F.Column:
@@ -73,19 +72,15 @@ def brazil_holidays(spark: SparkSession, first_year: int, last_year: int) -> Dat
     return out.select("h.holiday_date", "h.name", "h.scope")
 
 
-def holiday_calendar(holidays: DataFrame, start, end) -> DataFrame:
-    """One row per day in [start, end]: holiday name (first by name) on that day,
-    next holiday on/after it and previous holiday on/before it."""
-    spark = holidays.sparkSession
-    n_days = (end - start).days + 1
-    if n_days > MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar of {n_days} days exceeds {MAX_CALENDAR_DAYS}")
-    days = spark.range(n_days).select(
-        F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("day"))
-    per_day = holidays.groupBy("holiday_date").agg(F.min("name").alias("holiday_name"))
-    cal = days.join(per_day, days.day == per_day.holiday_date, "left")
-    # The calendar is bounded by the day span (checked above), so a single ordered
-    # window over it is a small, fixed-size task.
+def holiday_calendar(holidays: DataFrame, days: DataFrame) -> DataFrame:
+    """One row per day in ``days(day)``: holiday name (first by name) on that day, next
+    holiday on/after it and previous holiday on/before it.
+
+    Only observed days and holidays are ordered, so a sentinel date adds one row, not a span;
+    there are at most as many rows as calendar days, whatever the number of purchases."""
+    per_day = holidays.groupBy(F.col("holiday_date").alias("day")).agg(F.min("name").alias("holiday_name"))
+    cal = (days.where("day is not null").distinct().join(per_day, "day", "full_outer")
+           .withColumn("holiday_date", F.when(F.col("holiday_name").isNotNull(), F.col("day"))))
     fwd = Window.orderBy("day").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     bwd = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return cal.select(
@@ -94,10 +89,10 @@ def holiday_calendar(holidays: DataFrame, start, end) -> DataFrame:
         F.last("holiday_date", ignorenulls=True).over(bwd).alias("prev_holiday"))
 
 
-def holiday_features(purchases: DataFrame, holidays: DataFrame, start, end) -> DataFrame:
-    cal = holiday_calendar(holidays, start, end)
+def holiday_features(purchases: DataFrame, holidays: DataFrame) -> DataFrame:
     p = purchases.withColumn("purchase_date", F.to_date("purchased_at"))
-    j = p.join(broadcast_if_small(cal), p.purchase_date == cal.day, "left")
+    cal = holiday_calendar(holidays, p.select(F.col("purchase_date").alias("day")))
+    j = p.join(cal, p.purchase_date == cal.day, "left")
     return j.select(
         "purchase_id", "client_id", "purchase_date",
         F.col("holiday_name").isNotNull().alias("is_holiday"), "holiday_name",

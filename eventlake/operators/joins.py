@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and band (range) joins as equi-joins."""
+"""Join helpers: size-checked broadcast and first row by order."""
 
 from __future__ import annotations
 
@@ -26,35 +26,6 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
     return df
 
 
-def band_join(left: DataFrame, right: DataFrame, left_t: str, right_t: str,
-              before_s: int, after_s: int, keys: list[str] | None = None,
-              how: str = "inner") -> DataFrame:
-    """``right_t`` within ``[left_t - before_s, left_t + after_s]`` (seconds), plus
-    equality on ``keys``.
-
-    Rewritten as an equi-join on time buckets of width ``before_s + after_s``:
-    each right row is assigned to one bucket, each left row probes the (at most
-    three) buckets its window overlaps.  No cross product is built and the join
-    shuffles on (keys, bucket), so a hot key spreads over its buckets.
-    """
-    keys = keys or []
-    width = max(before_s + after_s, 1)
-    lt, rt = F.col(left_t).cast("timestamp"), F.col(right_t).cast("timestamp")
-    l_sec = F.unix_timestamp(lt)
-    r_sec = F.unix_timestamp(rt)
-    lb = F.floor((l_sec - before_s) / width)
-    hb = F.floor((l_sec + after_s) / width)
-    probes = left.withColumn("_band", F.explode(F.sequence(lb, hb)))
-    target = right.withColumn("_band", F.floor(r_sec / width))
-    cond = [probes["_band"] == target["_band"]] + [probes[k] == target[k] for k in keys]
-    lo = F.unix_timestamp(probes[left_t].cast("timestamp")) - before_s
-    hi = F.unix_timestamp(probes[left_t].cast("timestamp")) + after_s
-    r = F.unix_timestamp(target[right_t].cast("timestamp"))
-    cond.append(r.between(lo, hi))
-    out = probes.join(target, on=cond, how=how)
-    return out.drop(probes["_band"]).drop(target["_band"])
-
-
 def first_by_order(df: DataFrame, partition: list[str], order: list[Column]) -> DataFrame:
     """One row per ``partition`` key: the first under a total ``order``.
 

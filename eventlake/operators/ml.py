@@ -60,12 +60,13 @@ def _history_features(purchases: DataFrame) -> DataFrame:
     previous purchase of ``x`` is the row whose next purchase is ``x``."""
     order = ["purchased_at", "purchase_id"]
     base = purchases.select("client_id", "purchase_id", "purchased_at")
-    nxt = with_next(base, "client_id", order, ["purchase_id"])
+    nxt = with_next(base, "client_id", order, ["purchase_id", "purchased_at"])
     prev = nxt.filter(F.col("next_purchase_id").isNotNull()).select(
         F.col("next_purchase_id").alias("purchase_id"), F.col("purchased_at").alias("prev_at"))
     counts = with_running_sum(base, "client_id", order, F.lit(1), "n_so_far")
-    return counts.join(prev, "purchase_id", "left").select(
-        "purchase_id", F.col("n_so_far").cast("int").alias("n_so_far"),
+    following = nxt.select("purchase_id", F.to_date("next_purchased_at").alias("next_d"))
+    return counts.join(prev, "purchase_id", "left").join(following, "purchase_id", "left").select(
+        "purchase_id", "next_d", F.col("n_so_far").cast("int").alias("n_so_far"),
         F.coalesce(F.datediff(F.to_date("purchased_at"), F.to_date("prev_at")), F.lit(-1))
          .alias("days_since_prev"),
         F.month("purchased_at").alias("month"), F.dayofweek("purchased_at").alias("dow"))
@@ -81,8 +82,10 @@ def next_route_model(purchases: DataFrame, split_date: str, top_n: int = 20,
     # Estimators pass over their input several times: cut the lineage once.
     checkpoint_root(purchases.sparkSession)
     rows = rows.checkpoint(eager=True)
-    train = rows.filter(F.col("d") < F.lit(split_date).cast("date"))
-    test = rows.filter(F.col("d") >= F.lit(split_date).cast("date"))
+    # A label is known only once the next purchase is made: it too must lie before the split.
+    split = F.lit(split_date).cast("date")
+    train = rows.filter((F.col("d") < split) & (F.col("next_d") < split))
+    test = rows.filter(F.col("d") >= split)
     route_idx = StringIndexer(inputCol="route", outputCol="route_i", handleInvalid="keep")
     label_idx = StringIndexer(inputCol="next_route", outputCol="label", handleInvalid="keep")
     pipe = Pipeline(stages=[

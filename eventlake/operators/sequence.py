@@ -9,6 +9,8 @@ partition and key), never with all rows of a key in one place.
 
 * :func:`with_next` – ``lead`` of some columns within each key.
 * :func:`with_running_sum` – inclusive running sum within each key.
+
+A null key is a key like any other.
 """
 
 from __future__ import annotations
@@ -53,7 +55,8 @@ def with_next(df: DataFrame, key: str, order: list[str], cols: list[str],
     wk = Window.partitionBy(key).orderBy("_pid")
     bridge = (x.filter(F.col("_pos") == 1)
                .select("_pid", key, *[F.lead(c).over(wk).alias("_b_" + c) for c in cols]))
-    out = x.join(bridge, ["_pid", key], "left")
+    out = x.join(bridge.withColumnsRenamed({"_pid": "_bp", key: "_bk"}),
+                 (F.col("_pid") == F.col("_bp")) & F.col(key).eqNullSafe(F.col("_bk")), "left")
     last = F.col("_pos") == F.col("_len")
     return out.select(
         *[c for c in df.columns],
@@ -74,6 +77,7 @@ def with_running_sum(df: DataFrame, key: str, order: list[str], value: Column |
                 .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select("_pid", key,
                             F.coalesce(F.sum("_tot").over(wk), F.lit(0)).alias("_off"))
-    return (x.join(offsets, ["_pid", key])
-              .withColumn(out, F.col("_local") + F.col("_off"))
+    return (x.join(offsets.withColumnsRenamed({"_pid": "_bp", key: "_bk"}),
+                   (F.col("_pid") == F.col("_bp")) & F.col(key).eqNullSafe(F.col("_bk")))
+              .drop("_bp", "_bk").withColumn(out, F.col("_local") + F.col("_off"))
               .drop("_pid", "_v", "_local", "_off"))

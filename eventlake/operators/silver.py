@@ -107,11 +107,6 @@ def build_silver(feeds: dict[str, DataFrame], run_date: str | None = None,
     return silver.select(*(STD_COLS if keep_src_file else SILVER_COLUMNS))
 
 
-def source_counts(silver: DataFrame) -> DataFrame:
-    """Rows per source (map-side partial count, one small shuffle)."""
-    return silver.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def split_by_run_date(silver: DataFrame, run_date: str) -> tuple[DataFrame, DataFrame]:
     """(past, future) events: ``event_date`` before the run date, and on or
     after it (undated events go to neither)."""

@@ -342,13 +342,11 @@ FROM purchases p LEFT JOIN hd h ON h.holiday_date = p.d"""))
 def holiday_enrich(spark, sf_dir):
     """J1 holiday enrichment: generated national holidays (fixed + Easter-based),
     flag/name and distance to the nearest holidays per purchase."""
-    import datetime as dt
     from eventlake.operators.enrich import brazil_holidays, holiday_features
     p = _purchases(spark, sf_dir)
     r = p.agg(F.min(F.to_date("purchased_at")), F.max(F.to_date("purchased_at"))).first()
-    y0, y1 = r[0].year - 1, r[1].year + 1
-    hol = brazil_holidays(spark, y0, y1)
-    return _dates_to_str(holiday_features(p, hol, dt.date(y0, 1, 1), dt.date(y1, 12, 31)))
+    hol = brazil_holidays(spark, max(1, r[0].year - 1), min(9999, r[1].year + 1))
+    return _dates_to_str(holiday_features(p, hol))
 
 
 @register("event_proximity", """

@@ -11,7 +11,6 @@ reach on a cluster.  Only when the session has none (local tests) do we create o
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,6 +70,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="eventlake-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     try:
@@ -84,7 +85,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = checkpoint_root(spark)
-    path = f"{root}/eventlake/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{root}/eventlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that is no longer read."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

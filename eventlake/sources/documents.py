@@ -3,7 +3,7 @@
 Per file (one small row per file, never the data): bytes are checked for valid
 UTF-8 (else Latin-1), the header line's ``;`` and ``,`` counts pick the
 delimiter (``;`` on a tie, the original's default), then the files of each
-(encoding, delimiter) group are read by Spark's CSV reader.  Keys are
+(encoding, delimiter, header line) group are read by Spark's CSV reader.  Keys are
 stripped/lower-cased (a leading byte-order mark dropped), values stripped, and
 ``source_key`` is the file's export name.
 
@@ -20,7 +20,7 @@ from eventlake.operators.serve import normalise_rows
 
 
 def file_formats(spark: SparkSession, path: str) -> DataFrame:
-    """(file, encoding, sep) per CSV file under ``path``."""
+    """(file, encoding, sep, header line) per CSV file under ``path``."""
     from eventlake.functions.text import decoded_path
     raw = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
            .option("pathGlobFilter", "*.csv").load(path).select("path", "content"))
@@ -32,17 +32,23 @@ def file_formats(spark: SparkSession, path: str) -> DataFrame:
     n_comma = F.length(header) - F.length(F.replace(header, F.lit(","), F.lit("")))
     return raw.select(decoded_path(F.col("path")).alias("file"),
                       F.when(utf8, "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
-                      F.when(n_comma > n_semi, ",").otherwise(";").alias("sep"))
+                      F.when(n_comma > n_semi, ",").otherwise(";").alias("sep"),
+                      F.regexp_replace(header, r"\r$", "").alias("header"))
 
 
-# Export key of a part file: "<folder>/<name>.csv" (Spark writes an export as a directory).
-EXPORT_KEY_RE = r"([^/]+/[^/]+\.csv)/[^/]*$"
+def export_key(path) -> F.Column:
+    """"<folder>/<name>.csv" of an export: a part file's folder when Spark wrote it as a
+    directory, else the file itself.  Percent-encoding is undone."""
+    from eventlake.functions.text import decoded_path
+    plain = decoded_path(path)
+    folder = F.regexp_extract(plain, r"([^/]+/[^/]+\.csv)/[^/]*$", 1)
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(plain, r"([^/]+/[^/]+)$", 1))
 
 
-def read_gold_exports(spark: SparkSession, path: str, key_rx: str = EXPORT_KEY_RE) -> DataFrame:
+def read_gold_exports(spark: SparkSession, path: str) -> DataFrame:
     """All exported gold CSVs below ``path`` as normalised rows + ``source_key``."""
-    groups = (file_formats(spark, path).groupBy("encoding", "sep")
-              .agg(F.collect_list("file").alias("files")).collect())  # <= a few groups
+    groups = (file_formats(spark, path).groupBy("encoding", "sep", "header")
+              .agg(F.collect_list("file").alias("files")).collect())  # one row per layout
     frames = []
     for g in groups:
         df = (spark.read.option("header", True).option("multiLine", True).option("quote", '"')
@@ -50,7 +56,7 @@ def read_gold_exports(spark: SparkSession, path: str, key_rx: str = EXPORT_KEY_R
               .csv(sorted(g["files"])))
         df = df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
         df = normalise_rows(df).withColumn(
-            "source_key", F.regexp_extract(F.col("_metadata.file_path"), key_rx, 1))
+            "source_key", export_key(F.col("_metadata.file_path")))
         frames.append(df)
     if not frames:
         return spark.createDataFrame([], "source_key string")

@@ -21,7 +21,7 @@ from eventlake.functions.text import decoded_path
 from eventlake.operators.serve import build_documents, normalise_rows
 from eventlake.operators.silver import map_feed, survivor_order
 from eventlake.schemas import FEED_SCHEMAS
-from eventlake.sources.documents import EXPORT_KEY_RE
+from eventlake.sources.documents import export_key
 from eventlake.sinks.tables import dedupe_merge, set_merge, upsert_buckets
 from eventlake.sources.feeds import existing_paths, feed_paths
 
@@ -54,7 +54,7 @@ def silver_input(spark: SparkSession, root: str, archive_dir: str | None = None,
 
 
 def start_silver_stream(spark: SparkSession, root: str, table_path: str, checkpoint: str,
-                        archive_dir: str | None = None, n_buckets: int = 64,
+                        archive_dir: str | None = None, n_buckets: int | None = None,
                         available_now: bool = True, **options):
     src = silver_input(spark, root, archive_dir, **options)
     if src is None:
@@ -71,7 +71,7 @@ def start_silver_stream(spark: SparkSession, root: str, table_path: str, checkpo
 
 
 def start_documents_stream(spark: SparkSession, exports: str, docs_path: str, checkpoint: str,
-                           schema, n_buckets: int = 64, available_now: bool = True):
+                           schema, n_buckets: int | None = None, available_now: bool = True):
     """``schema``: the export's columns (display headers), all strings."""
     src = (spark.readStream.schema(schema).option("header", True).option("recursiveFileLookup", True)
            .option("pathGlobFilter", "*.csv").option("quote", '"').option("escape", '"')
@@ -80,7 +80,7 @@ def start_documents_stream(spark: SparkSession, exports: str, docs_path: str, ch
     merge = set_merge("_id")
 
     def batch(df, epoch_id):
-        key = F.regexp_extract(decoded_path(F.col("_file")), EXPORT_KEY_RE, 1)
+        key = export_key(F.col("_file"))
         docs = build_documents(normalise_rows(df.withColumn("_k", key).drop("_file")), F.col("_k"))
         upsert_buckets(df.sparkSession, docs_path, docs, "_id", merge, n_buckets)
 
