@@ -2,8 +2,8 @@
 
 One pass over the texts finds the base spans and the candidates (runs of identifier
 characters, ``MIN_LENGTH`` or longer, with a digit, outside base spans) and counts character
-pairs.  Values of base spans are the labelled samples of random strings, all other text the
-samples of ordinary identifiers; pair counts of either, summed over all documents, give two
+pairs.  Values of base spans are the labelled samples of random strings; all other text but the
+candidates, which have no label, gives the samples of ordinary identifiers; pair counts of either, summed over all documents, give two
 first-order Markov models.  A candidate is a further span when the ratio of its likelihoods
 exceeds ``threshold`` nats and ``per_char`` nats a character.
 
@@ -88,7 +88,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             raws = batch.column(1).cast(pa.binary()).to_pylist()
-            spans, found, values = [], [], []
+            spans, found, values, open_ = [], [], [], []
             for raw in raws:
                 base = base_spans(raw) if raw else []
                 more = candidates(raw, base) if raw else []
@@ -97,12 +97,14 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     values += [secret_value(text, s) for s in base]
                 spans.append([f"{k}:{s}:{e}" for s, e, k in base])
                 found.append([f"{s}:{e}:{t}" for s, e, t in more])
+                open_ += [t for _, _, t in more]
             n = len(raws)
             nulls = pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(pa.string())), pa.array(found, pa.list_(pa.string())),
                                               nulls, nulls, nulls], names)
             random = pair_counts((" " + " ".join(values) + " ").encode()) if values else np.zeros(K * K, np.int64)
-            plain = pair_counts(b" ".join(r for r in raws if r)) - random
+            unlabelled = pair_counts((" " + " ".join(open_) + " ").encode()) if open_ else 0
+            plain = pair_counts(b" ".join(r for r in raws if r)) - random - unlabelled
             cells = np.nonzero(plain | random)[0]
             empty = pa.nulls(len(cells), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([pa.nulls(len(cells), batch.schema.field(0).type), empty, empty, pa.array(cells, pa.int64()),

@@ -276,13 +276,13 @@ def test_secrets(spark, docs):
 def test_secrets_markov_and_redaction(spark):
     rng = random.Random(4)
     token = lambda n: "".join(rng.choice("ABCDEFGHJKabcdefghjk0123456789") for _ in range(n))
-    texts = [f"some plain words here password={token(24)} and more plain words" for _ in range(400)] + [
+    texts = [f"some very long_identifier and its name here password={token(24)} and more plain words" for _ in range(400)] + [
         f"the deploy id {token(32)} was used", "a very_long_identifier_name_2 in plain text", None, ""]
     docs = docs_of(spark, texts)
     found = {r.doc_id: r for r in secrets.find_secrets(docs).collect()}
     assert found[400].spans == "random:14:46" and found[401].spans == ""
     out = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
-    assert out[400] == "the deploy id [secret] was used" and out[0] == "some plain words here [secret] and more plain words"
+    assert out[400] == "the deploy id [secret] was used" and out[0] == "some very long_identifier and its name here [secret] and more plain words"
     assert out[401] == texts[401] and out[402] is None and out[403] == ""
 
 
