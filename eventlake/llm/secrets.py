@@ -1,7 +1,7 @@
 """Secret scan: fixed patterns, and character Markov models compared by log-likelihood ratio.
 
 One pass over the texts finds the base spans and the candidates (runs of identifier
-characters, ``MIN_LENGTH`` or longer, with a digit, outside base spans) and counts character
+characters, ``MIN_LENGTH`` or longer, with a digit and a letter, outside base spans) and counts character
 pairs.  Values of base spans are the labelled samples of random strings; all other text but the
 candidates, which have no label, gives the samples of ordinary identifiers; pair counts of either, summed over all documents, give two
 first-order Markov models.  A candidate is a further span when the ratio of its likelihoods
@@ -65,14 +65,14 @@ def secret_value(text: str, span: tuple[int, int, str]) -> str:
 
 
 def candidates(raw: bytes, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """(start, end, token) of identifier runs with a digit that touch no base span."""
+    """(start, end, token) of identifier runs with a digit and a letter that touch no base span."""
     if not _DIGIT.search(raw):
         return []
     text, out, i = raw.decode("utf-8", "replace"), [], 0
     for m in CANDIDATE.finditer(text):
         while i < len(spans) and spans[i][1] <= m.start():
             i += 1
-        if any(c.isdigit() for c in m[0]) and not any(s[0] < m.end() and m.start() < s[1] for s in spans[i:i + 4]):
+        if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]) and not any(s[0] < m.end() and m.start() < s[1] for s in spans[i:i + 4]):
             out.append((m.start(), m.end(), m[0]))
     return out
 
