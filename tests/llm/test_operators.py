@@ -196,6 +196,30 @@ def test_passages(spark):
     assert passages.find_passages(docs_of(spark, [None, ""])).count() == 0
 
 
+def passage_rows(spark, texts):
+    rows = passages.find_passages(docs_of(spark, [" ".join(t) for t in texts])).where("kind = 'passage'").collect()
+    return [(r.doc_id, r.start_word, r.end_word, r.ref_doc_id, r.ref_start, r.ref_end, r.agreeing) for r in rows]
+
+
+def made(seed):
+    rng = random.Random(seed)
+    return lambda n: [f"w{rng.randrange(50000)}" for _ in range(n)]
+
+
+def test_passages_apart_are_cut(spark):
+    make, texts, n = made(32), [], 0
+    for between in (50, 90, 200):
+        head, foot = make(60), make(60)
+        texts += [make(20) + head + make(between) + foot + make(20) for _ in range(3)]
+    stray, p = make(8), make(60)  # a common run ahead of the passage
+    texts += [make(20) + stray + make(40) + p + make(9), make(30) + stray + make(44) + p + make(5)]
+    rows = passage_rows(spark, texts)
+    for n in range(0, 9, 3):
+        mine = [r for r in rows if r[0] // 3 * 3 == n and r[0] < 9]
+        assert len(mine) == 6 and all(r[2] - r[1] == r[5] - r[4] == r[6] == 60 for r in mine)
+    assert [r[6] for r in rows if {r[0], r[3]} == {9, 10}] == [60]
+
+
 def test_chain_is_collinear():
     x, y = np.array([0, 10, 20, 15, 300]), np.array([5, 15, 25, 2, 305])
     best = passages.chains(x, y)[0]
