@@ -206,6 +206,27 @@ def made(seed):
     return lambda n: [f"w{rng.randrange(50000)}" for _ in range(n)]
 
 
+def evenly_edited(passage, every):
+    return [f"edit{i}" if i % every == every - 1 else w for i, w in enumerate(passage)]
+
+
+def test_passages_of_evenly_spread_edits(spark):
+    """Every passage of 60 words that agrees in 0.8 or more is found, as brute-force alignment finds it."""
+    make, texts = made(31), []
+    for every in (5, 6, 8, 15):
+        for _ in range(8):
+            p = make(60)
+            texts += [make(40) + p + make(40), make(70) + evenly_edited(p, every) + make(20)]
+    rows = passage_rows(spark, texts)
+    found = {frozenset(r[:1] + r[3:4]): r for r in rows}
+    assert set(found) == {frozenset((i, i + 1)) for i in range(0, len(texts), 2)}
+    for pair, r in found.items():
+        a, b = texts[r[3]], texts[r[0]]
+        lag = 30 if min(pair) == r[3] else -30  # of the passage in the other text
+        agree = [i for i in range(len(a)) if 0 <= i + lag < len(b) and a[i] == b[i + lag]]
+        assert r[6] == len(agree) and (r[4], r[5]) == (agree[0], agree[-1] + 1) and r[1] - r[4] == lag
+
+
 def test_passages_apart_are_cut(spark):
     make, texts, n = made(32), [], 0
     for between in (50, 90, 200):
