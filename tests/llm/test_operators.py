@@ -241,6 +241,29 @@ def test_passages_apart_are_cut(spark):
     assert [r[6] for r in rows if {r[0], r[3]} == {9, 10}] == [60]
 
 
+def test_passages_of_common_seeds(spark):
+    """Two texts share a passage, exact or edited, whose every seed also stands in other texts, different ones for each."""
+    make = made(33)
+    exact, edited = make(60), make(60)
+    texts = [make(30) + exact + make(30), make(9) + exact + make(60), make(30) + edited + make(30), make(9) + evenly_edited(edited, 6) + make(60)]
+    for p, copies in ((exact, 40), (edited, 6)):
+        for at in range(0, 57):
+            texts += [make(30) + p[at:at + 4] + make(30) for _ in range(copies)]
+    rows = passage_rows(spark, texts)
+    assert {frozenset((r[0], r[3])) for r in rows} == {frozenset((0, 1)), frozenset((2, 3))}
+    assert {r[6] for r in rows if r[0] < 2} == {60}
+
+
+def test_list_pairs_of_long_lists():
+    """Every text of a long list that holds the same longer run meets one reference."""
+    nodes = np.repeat(np.arange(50), 2)
+    places = np.tile([3, 90], 50)
+    runs = np.where(places == 3, nodes // 10 + 1, 0)
+    a, b, words = passages.list_pairs(np.ones(100, np.int64), runs, nodes, places, 32, 4, 50)
+    assert {(nodes[i], nodes[j]) for i, j, w in zip(a, b, words) if w == 50} >= {(n // 10 * 10, n) for n in range(50) if n % 10}
+    assert len(a) < 6 * 100
+
+
 def test_chain_is_collinear():
     x, y = np.array([0, 10, 20, 15, 300]), np.array([5, 15, 25, 2, 305])
     best = passages.chains(x, y)[0]
