@@ -255,15 +255,30 @@ def test_passages_of_common_seeds(spark):
 
 
 def test_list_pairs_of_long_lists():
-    """Every text of a long list that holds the same longer run meets one reference."""
+    """Every text of a long list that holds the same longer run meets one reference; each text meets itself."""
     nodes = np.repeat(np.arange(50), 2)
     places = np.tile([3, 90], 50)
     runs = np.where(places == 3, nodes // 10 + 1, 0)
     a, b, words = passages.list_pairs(np.ones(100, np.int64), runs, nodes, places, 32, 4, 50)
     assert {(nodes[i], nodes[j]) for i, j, w in zip(a, b, words) if w == 50} >= {(n // 10 * 10, n) for n in range(50) if n % 10}
+    assert {(nodes[i], places[i], places[j]) for i, j in zip(a, b) if nodes[i] == nodes[j]} == {(n, 3, 90) for n in range(50)}
     assert len(a) < 6 * 100
 
 
+def test_passages_repeated_in_one_text(spark):
+    make = made(34)
+    p, once, line = make(60), make(60), make(10)
+    texts = [make(20) + once + make(100) + once + make(20),  # in one text alone
+             make(10) + p + make(30), make(40) + p + make(80) + p + make(10),
+             make(5) + line * 8 + make(9), make(25) + line * 9 + make(3)]  # a repeated short sentence
+    rows = passage_rows(spark, texts)
+    assert [r[:6] for r in rows if r[0] == 0] == [(0, 180, 240, 0, 20, 80)]
+    covered = {(r[0], i) for r in rows for i in range(r[1], r[2])} | {(r[3], i) for r in rows for i in range(r[4], r[5])}
+    assert {(2, i) for i in (*range(40, 100), *range(180, 240))} <= covered and (1, 10) in covered
+    assert {(3, i) for i in range(5, 85)} <= covered and {(4, i) for i in range(25, 105)} <= covered
+    assert all(r[5] <= r[1] for r in rows if r[0] == r[3])
+
+
 def test_chain_is_collinear():
     x, y = np.array([0, 10, 20, 15, 300]), np.array([5, 15, 25, 2, 305])
     best = passages.chains(x, y)[0]
