@@ -1,9 +1,9 @@
 """Secret scan: fixed patterns, and character Markov models compared by log-likelihood ratio.
 
 One pass over the texts finds the base spans and the candidates (runs of identifier
-characters, ``MIN_LENGTH`` or longer, with a digit and a letter, outside base spans) and counts character
+characters, ``MIN_LENGTH`` or longer, with a letter, outside base spans) and counts character
 pairs.  Values of base spans are the labelled samples of random strings; all other text but the
-candidates, which have no label, gives the samples of ordinary identifiers; pair counts of either, summed over all documents, give two
+candidates with a digit, which have no label, gives the samples of ordinary identifiers; pair counts of either, summed over all documents, give two
 first-order Markov models.  A candidate is a further span when the ratio of its likelihoods
 exceeds ``threshold`` nats and ``per_char`` nats a character.
 
@@ -31,9 +31,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_CHARS, ACCESS_CHARS = 6, 20
 _HEX_BYTES = re.compile(rb"[0-9a-f]{24}")
-_DIGIT = re.compile(rb"[0-9]")
 _KEYWORDS = (b"passw", b"secret", b"token", b"api")
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}")
+_CANDIDATE_BYTES = re.compile(CANDIDATE.pattern.encode())
 #: Symbols of the models: 0 is any character outside identifiers.
 SYMBOLS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 K = len(SYMBOLS) + 1
@@ -65,14 +65,14 @@ def secret_value(text: str, span: tuple[int, int, str]) -> str:
 
 
 def candidates(raw: bytes, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """(start, end, token) of identifier runs with a digit and a letter that touch no base span."""
-    if not _DIGIT.search(raw):
+    """(start, end, token) of identifier runs with a letter that touch no base span."""
+    if not _CANDIDATE_BYTES.search(raw):
         return []
     text, out, i = raw.decode("utf-8", "replace"), [], 0
     for m in CANDIDATE.finditer(text):
         while i < len(spans) and spans[i][1] <= m.start():
             i += 1
-        if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]) and not any(s[0] < m.end() and m.start() < s[1] for s in spans[i:i + 4]):
+        if any(c.isalpha() for c in m[0]) and not any(s[0] < m.end() and m.start() < s[1] for s in spans[i:i + 4]):
             out.append((m.start(), m.end(), m[0]))
     return out
 
@@ -97,7 +97,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     values += [secret_value(text, s) for s in base]
                 spans.append([f"{k}:{s}:{e}" for s, e, k in base])
                 found.append([f"{s}:{e}:{t}" for s, e, t in more])
-                open_ += [t for _, _, t in more]
+                open_ += [t for _, _, t in more if any(c.isdigit() for c in t)]
             n = len(raws)
             nulls = pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(pa.string())), pa.array(found, pa.list_(pa.string())),

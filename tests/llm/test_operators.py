@@ -369,6 +369,21 @@ def test_secrets_markov_and_redaction(spark):
     assert out[401] == texts[401] and out[402] is None and out[403] == ""
 
 
+def test_secrets_of_letters_only(spark, docs):
+    rng = random.Random(8)
+    every, letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    token = lambda n, chars: "".join(rng.choice(chars) for _ in range(n))
+    texts = [f"some plain words and an uncharacteristically-long identifier name here password={token(24, every)} and more" for _ in range(400)]
+    keys = [token(n, letters) for n in (16, 20, 32)] + [token(24, letters[26:])]
+    plain = ["an internationalization/identifier in plain words", "uncharacteristically-long_identifier_name", "-" * 40]
+    docs = docs_of(spark, texts + [f"the key {k} was used" for k in keys] + plain + [r.text for r in docs.select("text").collect()])
+    found = {r.doc_id: r.spans for r in secrets.find_secrets(docs).collect()}
+    out = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    for i, k in enumerate(keys):
+        assert found[400 + i] == f"random:8:{8 + len(k)}" and out[400 + i] == "the key [secret] was used"
+    assert [(found[404 + i], out[404 + i]) for i in range(3)] == [("", p) for p in plain]
+
+
 # 9 near-duplicates
 def components_brute(texts, size, percent=80):
     sets = {}
