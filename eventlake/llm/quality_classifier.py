@@ -19,6 +19,7 @@ not held out and not learned from.
 from __future__ import annotations
 
 import operator
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
@@ -30,18 +31,34 @@ from eventlake.llm.common import bounded_batches, cut, table
 BUCKETS, DIM, EPOCHS, RATE, SAMPLE, SEED = 1 << 17, 8, 8, 0.5, 6000, 11
 GRAMS = (3, 5)
 CACHE_WORDS = 400_000
+#: Bytes from which on a word is counted by blocks and not cached: a text without spaces is one word.
+LONG_WORD, BLOCK = 64, 1 << 16
 
 
 def word_buckets(word: bytes, buckets: int = BUCKETS) -> list[int]:
     """Buckets of a word and its character n-grams (bytes of the bracketed word); the last
     bucket is kept for repeats."""
-    marked = b"<" + word[:64] + b">"
+    marked = b"<" + word + b">"
     out = [crc32(word) % (buckets - 1)]
     for n in range(GRAMS[0], GRAMS[1] + 1):
         out += [crc32(marked[i:i + n]) % (buckets - 1) for i in range(len(marked) - n + 1)]
     return out
 
 
+def long_word_buckets(word: bytes, buckets: int = BUCKETS) -> tuple[dict[int, int], int]:
+    """The same buckets with their counts, and how many there are, in memory bounded by ``buckets``."""
+    marked = b"<" + word + b">"
+    counts = {crc32(word) % (buckets - 1): 1}
+    total = 1
+    for n in range(GRAMS[0], GRAMS[1] + 1):
+        places = len(marked) - n + 1
+        total += places
+        for low in range(0, places, BLOCK):
+            for b, c in Counter([crc32(marked[i:i + n]) % (buckets - 1) for i in range(low, min(low + BLOCK, places))]).items():
+                counts[b] = counts.get(b, 0) + c
+    return counts, total
+
+
 def document_features(raw: bytes | None, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets and their weights (summing to 1) in the average of a whole text."""
     words = (raw or b"").split()
@@ -50,6 +67,11 @@ def document_features(raw: bytes | None, buckets: int = BUCKETS) -> tuple[np.nda
         counts[w] = counts.get(w, 0) + 1
     weights: dict[int, float] = {}
     for w, n in counts.items():
+        if len(w) > LONG_WORD:
+            found, total = long_word_buckets(w, buckets)
+            for b, c in found.items():
+                weights[b] = weights.get(b, 0.0) + n * c / total
+            continue
         parts = word_buckets(w, buckets)
         for b in parts:
             weights[b] = weights.get(b, 0.0) + n / len(parts)
@@ -127,6 +149,9 @@ def make_scorer(scores: np.ndarray, bias: float):
 
     class Cache(dict):
         def __missing__(self, word):
+            if len(word) > LONG_WORD:
+                found, total = long_word_buckets(word, buckets)
+                return sum([table_[b] * c for b, c in found.items()]) / total
             if len(self) >= CACHE_WORDS:
                 self.clear()
             parts = word_buckets(word, buckets)

@@ -295,6 +295,20 @@ def test_classifier(spark):
     assert len(odd) == len(EDGE) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in odd)
 
 
+def test_classifier_reads_long_words(spark):
+    rng = random.Random(12)
+    head = "".join(chr(0x4E00 + i) for i in range(40))
+    good, bad = [chr(0x5000 + i) for i in range(60)], [chr(0x6000 + i) for i in range(60)]
+    texts = [head + "".join(rng.choice(good if i % 2 else bad) for _ in range(200)) for i in range(600)]  # one word each
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, quality int")
+    rows = quality_classifier.classify(docs_of(spark, texts), labels).where("held_out").collect()
+    assert np.mean([r.predicted == r.doc_id % 2 for r in rows]) > 0.95
+    word = rng.randbytes(70_000).replace(b" ", b"x")
+    parts = quality_classifier.word_buckets(word)
+    counts, total = quality_classifier.long_word_buckets(word)
+    assert total == len(parts) and counts == {b: parts.count(b) for b in rng.sample(parts, 50)} | counts
+
+
 # 7 packing
 def test_packing(spark, docs):
     import public_tokenizers
