@@ -4,7 +4,7 @@ A word's vector is the mean of the learned vectors of the hashed word and its ha
 character n-grams; a word that repeats the one before it adds a vector of its own.  A
 document is the average of its words' vectors, put through a softmax layer.  Vectors and
 layer are trained together by numpy stochastic gradient descent on a bounded sample of
-labelled rows (``sample`` rows with the smallest id hashes), in one task.  Scoring reads
+labelled rows (of the ``sample`` ids with the smallest hashes, ``sample`` rows at most), in one task.  Scoring reads
 every whole text: because the average is linear, each bucket's vector is first reduced to
 its difference in logits, and a word costs one dictionary lookup.
 
@@ -107,9 +107,9 @@ def train(features: list[tuple[np.ndarray, np.ndarray]], classes: np.ndarray, bu
     return vectors @ (layer[1] - layer[0]), float(bias[1] - bias[0])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held_out: int,
-        sample: int) -> tuple[np.ndarray, float]:
-    """Train on the bounded sample, in one task; the model (one float per bucket) comes back."""
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held_out: int,
+                  sample: int) -> DataFrame:
+    """(order, label, ids, weights) of at most ``sample`` labelled rows, also when ids repeat."""
     spark = docs.sparkSession
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
     marks = (labels.where(F.col(label_col).isin(0, 1) & (fold != held_out)).groupBy(id_col)
@@ -127,6 +127,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0].tobytes() for f in found], pa.binary()),
                                               pa.array([f[1].tobytes() for f in found], pa.binary())], ["order", "label", "ids", "weights"])
 
+    found = texts.mapInArrow(featurise, "order bigint, label int, ids binary, weights binary")
+    return found.orderBy(F.xxhash64("order", "ids", "weights"), "order", "ids").limit(sample)
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held_out: int,
+        sample: int) -> tuple[np.ndarray, float]:
+    """Train on the bounded sample, in one task; the model (one float per bucket) comes back."""
     def learn(whole: pa.Table) -> pa.Table:
         whole = whole.sort_by([("order", "ascending"), ("ids", "ascending")])
         feats = [(np.frombuffer(i, np.int32), np.frombuffer(w, np.float32))
@@ -134,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         scores, bias = train(feats, whole["label"].to_numpy())
         return pa.table({"scores": pa.array([scores.astype(np.float32).tobytes()], pa.binary()), "bias": [bias]})
 
-    found = (texts.mapInArrow(featurise, "order bigint, label int, ids binary, weights binary").withColumn("all", F.lit(0)).groupBy("all")
+    found = (training_rows(docs, labels, id_col, text_col, label_col, folds, held_out, sample).withColumn("all", F.lit(0)).groupBy("all")
              .applyInArrow(learn, "scores binary, bias double").collect())
     if not found:
         return np.zeros(BUCKETS, np.float32), 0.0

@@ -309,6 +309,15 @@ def test_classifier_reads_long_words(spark):
     assert total == len(parts) and counts == {b: parts.count(b) for b in rng.sample(parts, 50)} | counts
 
 
+def test_classifier_sample_bounds_rows(spark):
+    """One id with most of the rows: the training task still reads no more rows than the sample."""
+    ids = [0] * 500 + list(range(1, 200))
+    docs = docs_of(spark, [f"text number {i}" for i in range(len(ids))], ids=ids)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    rows = quality_classifier.training_rows(docs, labels, "doc_id", "text", "quality", 3, 1, 200).collect()
+    assert len(rows) == 200 and len({r.order for r in rows}) > 20
+
+
 # 7 packing
 def test_packing(spark, docs):
     import public_tokenizers
