@@ -6,7 +6,7 @@ import sys
 import types
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: The white space that separates words, as a Java regex class and its complement.
 SPACE = r"\x20\x09-\x0D"
@@ -77,10 +77,9 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     while True:
         near = (both.join(labels, both.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near")))
         up = labels.select(F.col("id").alias("component"), F.col("component").alias("up"))
-        seen = Observation()
         new = labels.join(near, "id").join(up, "component").select("id", F.least("component", "near", "up").alias("new"), "component")
-        new = cut(spark, new.observe(seen, F.sum((F.col("new") < F.col("component")).cast("long")).alias("changed"))
-                  .select("id", F.col("new").alias("component")), "cc-labels")
-        labels = new
-        if not seen.get["changed"]:
+        # What changed is read from the written rows: an observer would stay in the session and end up in later closures.
+        new = cut(spark, new.select("id", F.col("new").alias("component"), (F.col("new") < F.col("component")).alias("moved")), "cc-labels")
+        labels = new.drop("moved")
+        if new.where("moved").isEmpty():
             return labels

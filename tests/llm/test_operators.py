@@ -494,3 +494,12 @@ def test_vector_search_edge_cases(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("clash"))
     found = vector_search.search(df, df.where("vec_id in (0, 1, 3, 4, 8)"), factor=1.0).orderBy("rank").collect()
     assert [r.vec_id for r in found] == [6, 6, 7] + [100 + i for i in range(17)] and {r.query_id for r in found} == {0}
+
+
+def test_components_leave_model_evaluation_usable(spark):
+    """A model is evaluated before and after components in one session."""
+    from eventlake.plans.catalog import QUERIES
+    before = QUERIES["ml_7_30"](spark, SF).count()
+    edges = spark.createDataFrame([(1, 2), (2, 3), (5, 6)], "a long, b long")
+    assert sorted(tuple(r) for r in connected_components(spark, edges).collect()) == [(1, 1), (2, 1), (3, 1), (5, 5), (6, 5)]
+    assert QUERIES["ml_7_30"](spark, SF).count() == before > 0
