@@ -14,7 +14,7 @@ strings that look like special tokens are ordinary text; an empty table gives no
 
 Ids are those of the ``tokenizers`` file given.  The same vocabulary as ranks is run by the
 faster ``tiktoken``; texts with characters beyond Latin, Greek and Cyrillic letters and
-common punctuation, whose classes could differ between Unicode versions, go to ``tokenizers``.
+common punctuation, whose classes could differ between Unicode versions, or with special tokens go to ``tokenizers``.
 """
 
 from __future__ import annotations
@@ -47,12 +47,12 @@ def make_encoder(name: str = TOKENIZER):
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         exact = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        exact.encode_special_tokens = True
-        cache["encoder", name] = (fast, exact)
-    fast, exact = cache["encoder", name]
+        special = [re.escape(t.content) for t in exact.get_added_tokens_decoder().values()]
+        cache["encoder", name] = (fast, exact, re.compile("|".join([BEYOND.pattern, *special])))
+    fast, exact, beyond = cache["encoder", name]
 
     def encode(text: str) -> np.ndarray:
-        if BEYOND.search(text):
+        if beyond.search(text):
             return np.array(exact.encode(text, add_special_tokens=False).ids, "<u4")
         return np.array(fast.encode_ordinary(text), "<u4")
 

@@ -11,7 +11,9 @@ Queries are cut into blocks, so that neither side of a task grows with the data.
 Vectors that are null, empty, zero or hold null or non-finite components take no part, and vectors
 of another length than the query's are never compared with it.  A query never finds a row with
 its own id; other repeated rows are found as often as they occur.  Of query rows with one id,
-the one with the smallest vector is searched.  Null ids take no part.
+the one with the smallest vector is searched.  Null ids take no part.  Vectors with a component
+above 2 ** 100 in size are scanned instead; a score beyond the range of doubles is infinite, one
+that is not a number takes no part.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from eventlake.llm.common import cut, table
 
 K, SHARD_ROWS, BLOCK_ROWS, LEAF, FACTOR = 20, 8192, 4096, 128, 2.0
 SLACK = 1e-6
+#: Vectors with a larger component are scanned: their squares would swamp or overflow a tree's distances.
+EXTREME = 2.0 ** 100
 
 
 class Tree:
@@ -94,6 +98,18 @@ class Tree:
         self.reach[q[full]] = np.sqrt(np.maximum(0, self.square[q[full]] - 2 * least[full]))
 
 
+def scanned(queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, float]]:
+    """(query id, id, score) of each query's k best rows, every row scored."""
+    out = []
+    for query, me in zip(queries, own):
+        with np.errstate(over="ignore", invalid="ignore"):
+            scores = np.einsum("nd,nd->n", np.broadcast_to(query, vectors.shape), vectors)
+        rows = np.flatnonzero((ids != me) & ~np.isnan(scores))
+        rows = rows[np.lexsort((ids[rows], -scores[rows]))[:k]]
+        out += [(int(me), int(ids[r]), float(scores[r])) for r in rows]
+    return out
+
+
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
     flat = pa.chunked_array([c.flatten() for c in column.chunks], pa.float64()).to_numpy()
     return flat.reshape(len(column), -1)
@@ -124,10 +140,18 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vecto
         schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
         if not len(shard) or not len(block):
             return schema.empty_table()
-        own = block["id"].to_numpy()
-        best, found = Tree(matrix(shard["vector"]), shard["id"].to_numpy()).search(matrix(block["vector"]), own, k, factor)
-        full = np.isfinite(best)
-        return pa.table([np.repeat(own, k).reshape(best.shape)[full], found[full], best[full]], schema=schema)
+        own, ids, queries, rows = block["id"].to_numpy(), shard["id"].to_numpy(), matrix(block["vector"]), matrix(shard["vector"])
+        odd, odd_rows = np.abs(queries).max(axis=1) > EXTREME, np.abs(rows).max(axis=1) > EXTREME
+        out = scanned(queries[odd], own[odd], rows, ids, k)
+        if odd_rows.any():
+            out += scanned(queries[~odd], own[~odd], rows[odd_rows], ids[odd_rows], k)
+        parts = [pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)] if out else []
+        if not odd.all() and not odd_rows.all():
+            own = own[~odd]
+            best, found = Tree(rows[~odd_rows], ids[~odd_rows]).search(queries[~odd], own, k, factor)
+            full = np.isfinite(best)
+            parts.append(pa.table([np.repeat(own, k).reshape(best.shape)[full], found[full], best[full]], schema=schema))
+        return pa.concat_tables(parts) if parts else schema.empty_table()
 
     key = ["dim", "shard", "block"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(run, "query_id bigint, vec_id bigint, score double")

@@ -503,3 +503,22 @@ def test_components_leave_model_evaluation_usable(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (5, 6)], "a long, b long")
     assert sorted(tuple(r) for r in connected_components(spark, edges).collect()) == [(1, 1), (2, 1), (3, 1), (5, 5), (6, 5)]
     assert QUERIES["ml_7_30"](spark, SF).count() == before > 0
+
+
+def test_packing_takes_special_strings_as_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>" * 3, "no token <|end"]
+    tokens = {r.doc_id: r.doc_tokens for r in packing.pack(docs_of(spark, texts)).collect()}
+    assert tokens == {i: len(exact.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+
+
+def test_search_beside_extreme_vectors(spark):
+    rng = np.random.default_rng(8)
+    points = [[float(x) for x in p] for p in rng.normal(size=(300, 4))] + [[1e200, 0.5, -1e200, 1.0], [1e-200, 0.0, 0.0, 0.0]]
+    frame = spark.createDataFrame([(i, p) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    found = vector_search.search(frame, frame.where("vec_id % 60 = 0"), k=5, factor=1.0, shard_rows=100).collect()
+    for query in range(0, 302, 60):
+        scores = sorted(((-float(np.dot(points[query], p)), i) for i, p in enumerate(points) if i != query))[:5]
+        assert [r.vec_id for r in sorted((r for r in found if r.query_id == query), key=lambda r: r.rank)] == [i for _, i in scores]
