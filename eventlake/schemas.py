@@ -34,7 +34,6 @@ DOC_ALIASES = {
     "data": ["evento (formato dd/mm/yyyy)", "data do evento", "data", "evento"],
     "hora": ["hora do evento (horário do brasil)", "hora do evento (horario do brasil)", "hora"],
     "origem": ["origem", "source"],
-    "ing": ["data de ingestão", "data de ingestao", "ingestion_date", "ingestion_ts_csv", "data_ingestao"],
 }
 
 # Required header set per feed and the feed's source tag.
@@ -70,21 +69,9 @@ GOLD_DISPLAY_NAMES = {
     "data_ingestao": "data de ingestão",
 }
 
-# ---------------------------------------------------------------------------
-# Schemas
-# ---------------------------------------------------------------------------
-
 S = T.StringType()
 
-FEED_SCHEMAS = {
-    feed: T.StructType([T.StructField(c, S, True) for c in cols])
-    for feed, cols in {
-        "sympla": ["url", "title", "place", "date"],
-        "ticket360": ["url", "title", "place", "city", "date"],
-        "eventim": ["artist", "url", "location", "date"],
-    }.items()
-}
-
+# Canonical event table: column names, order and types.
 STD_SCHEMA = T.StructType([
     T.StructField("event_url", S, True),
     T.StructField("title", S, True),
@@ -97,8 +84,14 @@ STD_SCHEMA = T.StructType([
     T.StructField("src_file", S, True),
 ])
 
-SILVER_COLUMNS = ["event_url", "title", "venue", "city", "event_date_text",
-                  "event_date", "source", "ingest_date"]
+# ---------------------------------------------------------------------------
+# Derived schemas
+# ---------------------------------------------------------------------------
+
+FEED_SCHEMAS = {feed: T.StructType([T.StructField(c, S, True) for c in columns]) for feed, columns in FEED_REQUIRED.items()}
+
+#: Silver keeps all but the source file.
+SILVER_COLUMNS = [name for name in STD_SCHEMA.names if name != "src_file"]
 
 GOLD_COLUMNS = list(GOLD_DISPLAY_NAMES)
 
@@ -115,18 +108,3 @@ DOC_SCHEMA = T.StructType([
     T.StructField("origem", S, True),
     T.StructField("source_key", S, True),
 ])
-
-PURCHASE_SCHEMA = T.StructType([
-    T.StructField("client_id", S, False),
-    T.StructField("purchase_id", T.LongType(), False),
-    T.StructField("purchased_at", T.TimestampType(), False),
-    T.StructField("gmv", T.DecimalType(18, 2), True),
-    T.StructField("origin", S, True),
-    T.StructField("destination", S, True),
-])
-
-HOLIDAY_SCHEMA = T.StructType([
-    T.StructField("holiday_date", T.DateType(), False),
-    T.StructField("name", S, False),
-    T.StructField("scope", S, False),
-])

@@ -88,6 +88,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/eventlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df, name: str):
+    """``df`` written once to the shared checkpoint folder and read back: later plans neither
+    recompute it nor guess its size (a small one is then broadcast by Spark itself)."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder that is no longer read."""
     jvm = spark.sparkContext._jvm

@@ -1,15 +1,15 @@
 """Incremental ingest with Structured Streaming.
 
-* :func:`feed_stream` (T1): each feed folder as a file stream (fixed schema,
-  header checked against it, ``recursiveFileLookup`` so ``date=`` folders never
-  become columns); every file is read once thanks to the checkpoint.
+* :func:`line_stream` (T1): one stream of raw lines over a whole root, so folders may appear at
+  any time; every file is read once thanks to the checkpoint, and whole within one batch.
   ``archive_dir`` (T2) moves consumed files there (``cleanSource=archive``);
   Spark moves a file once a later batch has committed.
-* :func:`start_silver_stream` (T3): micro-batches are mapped to the canonical
-  schema and upserted into the keyed Silver table by URL with the deterministic
-  survivor order; only touched buckets are rewritten.  State is the table itself.
-* :func:`start_documents_stream` (T4): exported gold CSVs -> documents ->
-  ``$set`` upsert by ``_id``.
+* :func:`start_silver_stream` (T1, T3): each batch's lines become records by their own file's
+  header (``sources.lines``), are mapped to the canonical schema by the feed folder they lie in and
+  upserted into the keyed Silver table by URL with the deterministic survivor order; only touched
+  buckets are rewritten.  State is the table itself.
+* :func:`start_documents_stream` (T4): exported gold CSVs of any encoding and separator ->
+  documents -> ``$set`` upsert by ``_id``.  A ledger keeps one row per file and batch.
 """
 
 from __future__ import annotations
@@ -17,73 +17,78 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.functions.text import decoded_path
-from eventlake.operators.serve import build_documents, normalise_rows
-from eventlake.operators.silver import map_feed, survivor_order
-from eventlake.schemas import FEED_SCHEMAS
-from eventlake.sources.documents import export_key
+from eventlake.operators.serve import build_documents
+from eventlake.operators.silver import map_feed, survivor_order, unify
+from eventlake.schemas import FEED_REQUIRED
+from eventlake.session import drop_folder, scratch_dir
+from eventlake.sources.documents import export_key, export_rows, formats_of
 from eventlake.sinks.tables import dedupe_merge, set_merge, upsert_buckets
-from eventlake.sources.feeds import existing_paths, feed_paths
+from eventlake.sources.feeds import feed_of, feed_records, path_exists
+from eventlake.sources.lines import EXPORT_SEPARATORS, LINE_OPTIONS, csv_records, facts, numbered, stripped_key, with_origin
 
 
-def feed_stream(spark: SparkSession, path: str, feed: str, archive_dir: str | None = None,
-                max_files: int | None = None) -> DataFrame:
-    r = (spark.readStream.schema(FEED_SCHEMAS[feed]).option("header", True)
-         .option("enforceSchema", False).option("recursiveFileLookup", True)
-         .option("pathGlobFilter", "*.csv").option("quote", '"').option("escape", '"')
-         .option("multiLine", True))
+def line_stream(spark: SparkSession, root: str, archive_dir: str | None = None, max_files: int | None = None) -> DataFrame:
+    """file, block, value of every line of the CSV files that are or come below ``root``."""
+    r = spark.readStream.options(**LINE_OPTIONS)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return r.csv(path).withColumn("src_file", decoded_path(F.col("_metadata.file_path")))
+    return with_origin(r.format("text").load(root))
 
 
-def silver_input(spark: SparkSession, root: str, archive_dir: str | None = None,
-                 run_date: str | None = None, **options) -> DataFrame | None:
-    frames = []
-    for feed in FEED_SCHEMAS:
-        for path in existing_paths(spark, feed_paths(root, feed)):
-            frames.append(map_feed(feed_stream(spark, path, feed, archive_dir), feed, run_date, **options))
-    if not frames:
-        return None
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def _start(src: DataFrame, batch, checkpoint: str, available_now: bool):
+    w = src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
+def batch_events(lines: DataFrame, run_date: str | None = None, **options) -> tuple[DataFrame, str]:
+    """A batch's lines as canonical rows, and the folder its records were written to (once, by feed)."""
+    records = csv_records(numbered(lines)).withColumn("feed", feed_of(F.col("path"))).where("feed is not null")
+    stage = scratch_dir(lines.sparkSession, "feed-batch")
+    records.write.partitionBy("feed").parquet(stage)
+    kept = lines.sparkSession.read.schema(records.schema).parquet(stage)
+    return unify([map_feed(feed_records(kept.where(F.col("feed") == feed), feed), feed, run_date, **options) for feed in FEED_REQUIRED]), stage
 
 
 def start_silver_stream(spark: SparkSession, root: str, table_path: str, checkpoint: str,
                         archive_dir: str | None = None, n_buckets: int | None = None,
-                        available_now: bool = True, **options):
-    src = silver_input(spark, root, archive_dir, **options)
-    if src is None:
+                        available_now: bool = True, max_files: int | None = None, **options):
+    """All feeds below ``root`` into the Silver table; None if there is no such folder yet."""
+    if not path_exists(spark, root):
         return None
     merge = dedupe_merge(survivor_order(), "event_url")
 
     def batch(df, epoch_id):
-        usable = df.filter(F.col("event_url").isNotNull() & (F.length("event_url") > 0))
+        events, stage = batch_events(df, **options)
+        usable = events.filter(F.col("event_url").isNotNull() & (F.length("event_url") > 0))
         upsert_buckets(df.sparkSession, table_path, usable, "event_url", merge, n_buckets)
+        drop_folder(df.sparkSession, stage)
 
-    w = src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    return _start(line_stream(spark, root, archive_dir, max_files), batch, checkpoint, available_now)
 
 
 def start_documents_stream(spark: SparkSession, exports: str, docs_path: str, checkpoint: str,
-                           schema, n_buckets: int | None = None, available_now: bool = True):
-    """``schema``: the export's columns (display headers), all strings."""
-    src = (spark.readStream.schema(schema).option("header", True).option("recursiveFileLookup", True)
-           .option("pathGlobFilter", "*.csv").option("quote", '"').option("escape", '"')
-           .option("multiLine", True).csv(exports)
-           .withColumn("_file", F.col("_metadata.file_path")))
+                           schema=None, n_buckets: int | None = None, available_now: bool = True,
+                           ledger_path: str | None = None, max_files: int | None = None):
+    """Exports below ``exports`` into the documents table.  ``schema`` is not needed: every file
+    is read by its own header.  ``ledger_path``: one row per batch and file (encoding, separator,
+    header, rows), written before the upsert; a repeated batch replaces its own rows."""
     merge = set_merge("_id")
 
     def batch(df, epoch_id):
-        key = export_key(F.col("_file"))
-        docs = build_documents(normalise_rows(df.withColumn("_k", key).drop("_file")), F.col("_k"))
-        upsert_buckets(df.sparkSession, docs_path, docs, "_id", merge, n_buckets)
-
-    w = src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+        lines = numbered(df)
+        splits, files = facts(lines, EXPORT_SEPARATORS, stripped_key)
+        if files.isEmpty():
+            return
+        rows = export_rows(lines, splits, files)
+        if ledger_path:
+            counts = csv_records(lines, EXPORT_SEPARATORS, stripped_key, files, splits).groupBy("path").agg(F.count(F.lit(1)).alias("n_rows"))
+            entries = (formats_of(files).join(counts, F.col("file") == F.col("path"), "left")
+                       .select(export_key(F.col("file")).alias("source_key"), "file", "encoding", "sep", "header",
+                               F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.lit(epoch_id).alias("batch")))
+            (entries.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(ledger_path))
+        upsert_buckets(df.sparkSession, docs_path, build_documents(rows, F.col("source_key")), "_id", merge, n_buckets)
+
+    return _start(line_stream(spark, exports, max_files=max_files), batch, checkpoint, available_now)
