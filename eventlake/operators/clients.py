@@ -53,9 +53,20 @@ def modal_route(purchases: DataFrame) -> DataFrame:
     return top.select("client_id", F.col("route").alias("modal_route"))
 
 
+def holiday_share(purchases: DataFrame, holidays: DataFrame) -> DataFrame:
+    """client_id, n_holiday, holiday_share: purchases made on a day of ``holidays(holiday_date, …)``.
+
+    The holidays are one row per day of the calendar; a purchase without a date is not on one."""
+    days = holidays.select(F.col("holiday_date").alias("_day")).distinct()
+    p = purchases.select("client_id", F.to_date("purchased_at").alias("_d"))
+    hit = p.join(broadcast_if_small(days), F.col("_d") == F.col("_day"), "left")
+    out = hit.groupBy("client_id").agg(F.count("_day").alias("n_holiday"), F.count(F.lit(1)).alias("_n"))
+    return out.select("client_id", "n_holiday", (F.col("n_holiday").cast("double") / F.col("_n")).alias("holiday_share"))
+
+
 def client_features(purchases: DataFrame, as_of: str,
-                    recurrence_cuts=RECURRENCE_CUTS, speed_cuts=SPEED_CUTS) -> DataFrame:
-    """A8 + G1 + G2: one row per client."""
+                    recurrence_cuts=RECURRENCE_CUTS, speed_cuts=SPEED_CUTS, holidays: DataFrame | None = None) -> DataFrame:
+    """A8 + G1 + G2: one row per client; with ``holidays`` also the share of purchases on one."""
     d = F.to_date("purchased_at")
     cents = (F.col("gmv") * 100).cast("long")
     agg = purchases.groupBy("client_id").agg(
@@ -78,7 +89,8 @@ def client_features(purchases: DataFrame, as_of: str,
         recurrence_segment(n, recurrence_cuts).alias("seg_recorrencia"),
         speed_segment(n, span, speed_cuts).alias("seg_velocidade"),
     )
-    return out.join(modal_route(purchases), "client_id", "left")
+    out = out.join(modal_route(purchases), "client_id", "left")
+    return out if holidays is None else out.join(holiday_share(purchases, holidays).drop("n_holiday"), "client_id", "left")
 
 
 def recurrence_segment(n, cuts=RECURRENCE_CUTS, labels=RECURRENCE_LABELS) -> F.Column:

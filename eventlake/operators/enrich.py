@@ -118,45 +118,49 @@ def band_counts(events: DataFrame, anchor_type: str, counted_type: str, before_s
 def keyed_band_counts(anchors: DataFrame, counted: DataFrame, before_s: int, after_s: int = 0,
                       n_partitions: int | None = None) -> DataFrame:
     """``anchors(_aid, _k, _t)``, ``counted(_cid, _k, _t)`` -> ``(_aid, _n)``: counted
-    rows with the same key and ``_t`` in ``[t - before_s, t + after_s]``.
+    rows with the same key and ``_t`` in ``[t - before_s, t + after_s]``."""
+    return keyed_window_counts(anchors, counted, {"_n": (before_s, after_s)}, n_partitions)
+
+
+def keyed_window_counts(anchors: DataFrame, counted: DataFrame, windows: dict[str, tuple[int, int]],
+                        n_partitions: int | None = None) -> DataFrame:
+    """``_aid`` and one count per window ``{name: (seconds before, seconds after)}``.
 
     One ordered stream per key holds the counted rows (weight 1) and two probes
-    per anchor (weight 0); ``_n`` = running count at the upper probe minus the
-    running count at the lower one.  Probes sort after/before counted rows at
+    per anchor and window (weight 0); a count is the running count at the upper probe minus
+    that at the lower one.  Probes sort after/before counted rows at
     the same instant so both bounds are inclusive.  Anchors with a null key or
     time count 0."""
     c = counted.filter(F.col("_k").isNotNull() & F.col("_t").isNotNull()).select(
         "_k", "_t", F.lit(0).alias("_rank"), F.col("_cid").cast("string").alias("_id"),
         F.lit(1).alias("_w"), F.lit(None).cast("string").alias("_anchor"), F.lit("").alias("_side"))
     a = anchors.filter(F.col("_k").isNotNull() & F.col("_t").isNotNull())
-    hi = a.select("_k", (F.col("_t") + F.expr(f"INTERVAL {int(after_s)} SECONDS")).alias("_t"),
-                  F.lit(1).alias("_rank"), F.col("_aid").cast("string").alias("_id"), F.lit(0).alias("_w"),
-                  F.col("_aid").cast("string").alias("_anchor"), F.lit("hi").alias("_side"))
-    lo = a.select("_k", (F.col("_t") - F.expr(f"INTERVAL {int(before_s)} SECONDS")).alias("_t"),
-                  F.lit(-1).alias("_rank"), F.col("_aid").cast("string").alias("_id"), F.lit(0).alias("_w"),
-                  F.col("_aid").cast("string").alias("_anchor"), F.lit("lo").alias("_side"))
-    stream = c.unionByName(hi).unionByName(lo)
-    run = with_running_sum(stream, "_k", ["_t", "_rank", "_id", "_side"], "_w", "_cum",
+    probes = []
+    for name, (before_s, after_s) in windows.items():
+        for side, shift, rank in (("hi", int(after_s), 1), ("lo", -int(before_s), -1)):
+            at = F.col("_t") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(shift))
+            probes.append(F.struct(at.alias("t"), F.lit(rank).alias("rank"), F.lit(f"{side}:{name}").alias("side")))
+    p = a.select("_k", F.col("_aid").cast("string").alias("_anchor"), F.explode(F.array(*probes)).alias("p")).select(
+        "_k", F.col("p.t").alias("_t"), F.col("p.rank").alias("_rank"), F.col("_anchor").alias("_id"), F.lit(0).alias("_w"),
+        "_anchor", F.col("p.side").alias("_side"))
+    run = with_running_sum(c.unionByName(p), "_k", ["_t", "_rank", "_id", "_side"], "_w", "_cum",
                            n_partitions=n_partitions)
-    probes = run.filter(F.col("_anchor").isNotNull()).groupBy("_anchor").agg(
-        (F.max(F.when(F.col("_side") == "hi", F.col("_cum")))
-         - F.max(F.when(F.col("_side") == "lo", F.col("_cum")))).cast("long").alias("_n"))
+    at = lambda side: F.max(F.when(F.col("_side") == side, F.col("_cum")))
+    found = run.filter(F.col("_anchor").isNotNull()).groupBy("_anchor").agg(
+        *[(at(f"hi:{name}") - at(f"lo:{name}")).cast("long").alias(name) for name in windows])
     ids = anchors.select(F.col("_aid"), F.col("_aid").cast("string").alias("_anchor"))
-    return ids.join(probes, "_anchor", "left").select("_aid", F.coalesce("_n", F.lit(0)).alias("_n"))
+    return ids.join(found, "_anchor", "left").select("_aid", *[F.coalesce(name, F.lit(0)).alias(name) for name in windows])
 
 
 def event_proximity_counts(purchases: DataFrame, events: DataFrame, days_before: int = 30,
                            days_after: int = 30, n_partitions: int | None = None) -> DataFrame:
     """Per purchase, listed events in the purchase's destination city in the
     ``days_before`` days up to the purchase and in the ``days_after`` days after it.
-    ``events`` are Silver rows (``event_url, city, event_date``)."""
+    ``events`` are Silver rows (``event_url, city, event_date``), read once."""
     anchors = purchases.select(F.col("purchase_id").alias("_aid"), F.col("destination").alias("_k"),
                                F.col("purchased_at").cast("timestamp").alias("_t"))
     counted = events.select(F.col("event_url").alias("_cid"), F.trim("city").alias("_k"),
                             F.col("event_date").alias("_t"))
     day = 86400
-    before = keyed_band_counts(anchors, counted, days_before * day, 0, n_partitions) \
-        .withColumnRenamed("_n", f"events_prev_{days_before}d")
-    after = keyed_band_counts(anchors, counted, 0, days_after * day, n_partitions) \
-        .withColumnRenamed("_n", f"events_next_{days_after}d")
-    return before.join(after, "_aid").withColumnRenamed("_aid", "purchase_id")
+    windows = {f"events_prev_{days_before}d": (days_before * day, 0), f"events_next_{days_after}d": (0, days_after * day)}
+    return keyed_window_counts(anchors, counted, windows, n_partitions).withColumnRenamed("_aid", "purchase_id")
