@@ -834,3 +834,7 @@ def purchase_event_proximity(spark, sf_dir):
     past, future = split_by_run_date(silver, "1998-08-02")
     events = past.unionByName(future)
     return event_proximity_counts(p, events, 30, 30)
+
+
+# The other parts of the registry register themselves on import.
+from eventlake.plans import catalog_ingest, catalog_models  # noqa: E402, F401

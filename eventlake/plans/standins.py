@@ -291,20 +291,42 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.repartition(n * 2, "page_id")
 
 
+def pager_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored pages of paged listings, one listing per order priority with as many pages as its
+    largest order key needs.  The base page links to pages 1 to 3, page k to k - 1, k + 1, 2k and
+    2k + 1; every seventh page is linked but not stored.  Each page also holds links that do not
+    count: in a comment, to another listing's pages, and to an event."""
+    o = table(spark, sf_dir, "orders").groupBy(F.lower("o_orderpriority").alias("seg")).agg(
+        (F.floor(F.max("o_orderkey") / ORDERS_PER_PAGE) + 1).cast("int").alias("last"))
+    pages = o.select("seg", "last", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("no"))
+    pages = pages.where((F.col("no") == 0) | (F.col("no") % 7 != 0))
+    k = F.col("no")
+    linked = F.when(k == 0, F.array(F.lit(1), F.lit(2), F.lit(3))).otherwise(F.array(k - 1, k + 1, k * 2, k * 2 + 1))
+    linked = F.filter(linked, lambda x: (x >= 1) & (x <= F.col("last")))
+    path = F.concat(F.lit("/categoria/"), F.col("seg"))
+    anchors = F.transform(linked, lambda x: F.concat(F.lit('<a class="pg" href="'), path, F.lit("?p="), x.cast("string"), F.lit('">'), x.cast("string"), F.lit("</a>")))
+    html = F.concat(F.lit("<html><body><nav>"), F.array_join(anchors, ""), F.lit("</nav><!-- <a href='"), path, F.lit("?p=999999'>x</a> -->"),
+                    F.lit('<a href="/categoria/outra?p=5">y</a><a href="/evento/1?x=2">z</a></body></html>'))
+    url = F.concat(F.lit(PAGE_HOST), path, F.when(k == 0, "").otherwise(F.concat(F.lit("?p="), k.cast("string"))))
+    return pages.select(F.concat_ws(":", "seg", k.cast("string")).alias("page_id"), url.alias("url"), html.alias("html"))
+
+
 # Bronze CSV tree --------------------------------------------------------------
 
 BRONZE_FOLDERS = {"sympla": "Bronze/database Sympla", "ticket360": "bronze/database Ticket360",
                   "eventim": "Bronze/database Evetim"}
 
 
-def write_bronze_tree(spark: SparkSession, sf_dir: str, root: str, vary_headers: bool = False) -> None:
-    """Write the three feeds as scraper CSV files: ``<root>/<folder>/date=<month start>/*.csv``.
+def write_bronze_tree(spark: SparkSession, sf_dir: str, root: str, vary_headers: bool = False, only: tuple | None = None) -> None:
+    """Write the three feeds (or ``only`` some) as scraper CSV files: ``<root>/<folder>/date=<month start>/*.csv``.
     With ``vary_headers`` half of the second feed's files use another column order
     (under the other case variant of the root)."""
     from eventlake.schemas import FEED_SCHEMAS
     from eventlake.sinks.files import rename_partition_dirs, write_bronze
     feeds = bronze_feeds(spark, sf_dir, with_keys=True)
     for feed, df in feeds.items():
+        if only and feed not in only:
+            continue
         cols = [f.name for f in FEED_SCHEMAS[feed].fields]
         # One scrape folder per month (a real Bronze prefix holds a few runs).
         df = df.withColumn("_day", F.trunc("_ship", "month").cast("string"))
