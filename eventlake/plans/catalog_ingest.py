@@ -78,7 +78,7 @@ folders AS (
 ),
 states AS (
   SELECT prefix, feed, date,
-         CASE WHEN feed = 'sympla' AND date < '1995-01-01' THEN 'consumed'
+         CASE WHEN feed = 'sympla' AND date < '1998-01-01' THEN 'consumed'
               WHEN feed <> 'sympla' AND prefix = max(prefix) OVER (PARTITION BY feed) THEN 'idle_latest' ELSE 'waiting' END AS state
   FROM folders
 )""", """
@@ -86,14 +86,14 @@ SELECT prefix, feed, date, state,
        CASE WHEN state <> 'waiting' THEN row_number() OVER (PARTITION BY state = 'waiting' ORDER BY prefix) END AS position
 FROM states"""))
 def folder_inventory_q(spark, sf_dir):
-    """J5/A5/U3/O4 inventory of a Bronze tree after a batch that read one feed's folders before 1995: consumed
+    """J5/A5/U3/O4 inventory of a Bronze tree after a batch that read one feed's folders before 1998: consumed
     folders, the latest existing folder of every idle feed, what waits, and the order to move them in."""
     from eventlake.sources.feeds import read_feed
     from eventlake.sources.inventory import consumed_folders, folder_inventory, folder_states, folders_to_move, list_files
     apply_defaults(spark)
     root = scratch_dir(spark, "bronze-inventory")
     standins.write_bronze_tree(spark, sf_dir, root)
-    batch = read_feed(spark, root, "sympla").where(F.col("src_file").rlike("date=199[0-4]"))
+    batch = read_feed(spark, root, "sympla").where(F.col("src_file").rlike("date=199[0-7]"))
     states = folder_states(folder_inventory(list_files(spark, root)), consumed_folders(batch))
     moved = folders_to_move(states).select("prefix", "position")
     return states.join(moved, "prefix", "left").select("prefix", "feed", "date", "state", "position")

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from eventlake.session import drop_folder
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 STAMP_DIGITS = 13
 
 
