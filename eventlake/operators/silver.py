@@ -15,6 +15,9 @@ Options (defaults reproduce the original behaviour except where marked fixed):
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,7 @@ from eventlake.functions.dates import ingest_date_from_path, to_ts_any
 from eventlake.functions.text import fill_city
 from eventlake.operators.joins import first_by_order
 from eventlake.schemas import FEED_REQUIRED, SILVER_COLUMNS, STD_SCHEMA
+from eventlake.sources.lines import has_names, value_of
 
 STD_COLS = [f.name for f in STD_SCHEMA.fields]
 
@@ -45,34 +49,53 @@ def map_feed(df: DataFrame, feed: str, run_date: str | None = None, *,
     if not has_required(df, feed):
         return empty_std(df.sparkSession)
     src = file_col if file_col is not None else F.col("src_file")
+    fields = {c: F.col(c) for c in FEED_REQUIRED[feed]}
     # Ingest date in its own projection: the parser below reads it as a column,
     # so its path regexes run once per row (Catalyst does not collapse a
     # projection when that would repeat an expensive expression).
     df = df.withColumn("_ingest", ingest_date_from_path(src, run_date))
-    ingest = F.col("_ingest")
-    year = F.year(F.to_date(ingest)) if year_from_ingest else None
-    if feed == "sympla":
-        title, venue, city = F.col("title"), F.col("place"), F.lit(None).cast("string")
-    elif feed == "ticket360":
-        title, venue, city = F.col("title"), F.col("place"), F.col("city")
-    else:
-        title, venue = F.col("artist"), F.col("location")
-        city = (F.regexp_replace(F.col("location"), r"\s*-\s*Sp$", "") if city_from_location
-                else F.lit(None).cast("string"))
-    out = df.select(
-        F.col("url").alias("event_url"),
-        title.alias("title"),
-        venue.alias("venue"),
-        city.alias("city"),
-        F.col("date").alias("event_date_text"),
-        to_ts_any(F.col("date"), year, numeric_dmy=numeric_dmy and feed == "eventim").alias("event_date"),
-        F.lit(feed).alias("source"),
-        ingest.alias("ingest_date"),
-        src.alias("src_file"),
-    )
-    if feed == "sympla":
-        out = out.withColumn("city", fill_city("city", "venue", require_spaces))
-    return out
+    year = F.year(F.to_date("_ingest")) if year_from_ingest else None
+    title, venue, city = _title_venue_city(feed, fields, city_from_location, require_spaces)
+    return df.select(
+        fields["url"].alias("event_url"), title.alias("title"), venue.alias("venue"), city.alias("city"),
+        fields["date"].alias("event_date_text"),
+        to_ts_any(fields["date"], year, numeric_dmy=numeric_dmy and feed == "eventim").alias("event_date"),
+        F.lit(feed).alias("source"), F.col("_ingest").alias("ingest_date"), src.alias("src_file"))
+
+
+def _title_venue_city(feed: str, fields: dict[str, Column], city_from_location: bool, require_spaces: bool):
+    nothing = F.lit(None).cast("string")
+    if feed == "eventim":
+        place = fields["location"]
+        return fields["artist"], place, F.regexp_replace(place, r"\s*-\s*Sp$", "") if city_from_location else nothing
+    if feed == "ticket360":
+        return fields["title"], fields["place"], fields["city"]
+    return fields["title"], fields["place"], fill_city(nothing, fields["place"], require_spaces)
+
+
+def map_records(records: DataFrame, run_date: str | None = None, *, year_from_ingest: bool = True, numeric_dmy: bool = False,
+                city_from_location: bool = False, require_spaces: bool = False) -> DataFrame:
+    """Records of all feeds (``feed``, ``names``, ``values``, ``path``; see ``sources.lines``) -> canonical
+    rows, in one projection: one pass over the files however many feeds there are.
+
+    Records of a file whose header lacks a column that its feed needs are left out."""
+    whole = reduce(or_, [(F.col("feed") == feed) & has_names(required) for feed, required in FEED_REQUIRED.items()])
+    fields = sorted({c for required in FEED_REQUIRED.values() for c in required})
+    rows = records.where(whole).select("feed", F.col("path").alias("src_file"), *[value_of(c).alias(c) for c in fields],
+                                       ingest_date_from_path(F.col("path"), run_date).alias("_ingest"))
+    cells = {c: F.col(c) for c in fields}
+    of_feed = {feed: _title_venue_city(feed, cells, city_from_location, require_spaces) for feed in FEED_REQUIRED}
+
+    def by_feed(n: int) -> Column:
+        return reduce(lambda out, feed: F.when(F.col("feed") == feed, of_feed[feed][n]).otherwise(out), of_feed, F.lit(None).cast("string"))
+
+    year = F.year(F.to_date("_ingest")) if year_from_ingest else None
+    date = to_ts_any(F.col("date"), year)
+    if numeric_dmy:
+        date = F.when(F.col("feed") == "eventim", to_ts_any(F.col("date"), year, numeric_dmy=True)).otherwise(date)
+    return rows.select(F.col("url").alias("event_url"), by_feed(0).alias("title"), by_feed(1).alias("venue"), by_feed(2).alias("city"),
+                       F.col("date").alias("event_date_text"), date.alias("event_date"), F.col("feed").alias("source"),
+                       F.col("_ingest").alias("ingest_date"), "src_file")
 
 
 def unify(frames: list[DataFrame]) -> DataFrame:

@@ -57,13 +57,14 @@ guess AS (
     SELECT route, actual, row_number() OVER (PARTITION BY route ORDER BY count(*) DESC, actual) AS rn FROM pairs GROUP BY route, actual) WHERE rn = 1
 ),
 judged AS (SELECT p.actual, g.predicted FROM pairs p JOIN guess g ON p.route = g.route)""", """
-SELECT c.route_class,
-       (SELECT count(*) FROM judged WHERE actual = c.route_class) AS n_actual,
-       (SELECT count(*) FROM judged WHERE predicted = c.route_class) AS n_predicted,
-       (SELECT count(*) FROM judged WHERE actual = c.route_class AND predicted = c.route_class) AS n_right,
-       CAST(n_right AS DOUBLE) / NULLIF(n_predicted, 0) AS precision, CAST(n_right AS DOUBLE) / NULLIF(n_actual, 0) AS recall,
+SELECT *, CAST(n_right AS DOUBLE) / NULLIF(n_predicted, 0) AS precision, CAST(n_right AS DOUBLE) / NULLIF(n_actual, 0) AS recall,
        CAST(n_right AS DOUBLE) * 2 / (n_actual + n_predicted) AS f1
-FROM (SELECT actual AS route_class FROM judged UNION SELECT predicted FROM judged) c"""))
+FROM (
+  SELECT c.route_class,
+         (SELECT count(*) FROM judged WHERE actual = c.route_class) AS n_actual,
+         (SELECT count(*) FROM judged WHERE predicted = c.route_class) AS n_predicted,
+         (SELECT count(*) FROM judged WHERE actual = c.route_class AND predicted = c.route_class) AS n_right
+  FROM (SELECT actual AS route_class FROM judged UNION SELECT predicted FROM judged) c)"""))
 def route_confusion(spark, sf_dir):
     """R4 evaluation: precision, recall and F1 per class of predicting the most frequent successor of
     a route, from the confusion table."""

@@ -18,12 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators.serve import build_documents
-from eventlake.operators.silver import map_feed, survivor_order, unify
-from eventlake.schemas import FEED_REQUIRED
-from eventlake.session import drop_folder, scratch_dir
+from eventlake.operators.silver import map_records, survivor_order
 from eventlake.sources.documents import export_key, export_rows, formats_of
 from eventlake.sinks.tables import dedupe_merge, set_merge, upsert_buckets
-from eventlake.sources.feeds import feed_of, feed_records, path_exists
+from eventlake.sources.feeds import feeds_records, path_exists
 from eventlake.sources.lines import EXPORT_SEPARATORS, LINE_OPTIONS, csv_records, facts, numbered, stripped_key, with_origin
 
 
@@ -43,15 +41,6 @@ def _start(src: DataFrame, batch, checkpoint: str, available_now: bool):
     return w.start()
 
 
-def batch_events(lines: DataFrame, run_date: str | None = None, **options) -> tuple[DataFrame, str]:
-    """A batch's lines as canonical rows, and the folder its records were written to (once, by feed)."""
-    records = csv_records(numbered(lines)).withColumn("feed", feed_of(F.col("path"))).where("feed is not null")
-    stage = scratch_dir(lines.sparkSession, "feed-batch")
-    records.write.partitionBy("feed").parquet(stage)
-    kept = lines.sparkSession.read.schema(records.schema).parquet(stage)
-    return unify([map_feed(feed_records(kept.where(F.col("feed") == feed), feed), feed, run_date, **options) for feed in FEED_REQUIRED]), stage
-
-
 def start_silver_stream(spark: SparkSession, root: str, table_path: str, checkpoint: str,
                         archive_dir: str | None = None, n_buckets: int | None = None,
                         available_now: bool = True, max_files: int | None = None, **options):
@@ -61,10 +50,9 @@ def start_silver_stream(spark: SparkSession, root: str, table_path: str, checkpo
     merge = dedupe_merge(survivor_order(), "event_url")
 
     def batch(df, epoch_id):
-        events, stage = batch_events(df, **options)
+        events = map_records(feeds_records(numbered(df)), **options)
         usable = events.filter(F.col("event_url").isNotNull() & (F.length("event_url") > 0))
         upsert_buckets(df.sparkSession, table_path, usable, "event_url", merge, n_buckets)
-        drop_folder(df.sparkSession, stage)
 
     return _start(line_stream(spark, root, archive_dir, max_files), batch, checkpoint, available_now)
 
