@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.operators.clients import route_col
-from eventlake.operators.joins import first_by_order
 from eventlake.operators.sequence import with_next
+from eventlake.session import staged
 
 OTHER = "OUTROS"
 ORDER = ["purchased_at", "purchase_id"]
@@ -27,7 +27,11 @@ def with_route(purchases: DataFrame) -> DataFrame:
 
 
 def top_routes(purchases: DataFrame, n: int = 20) -> DataFrame:
-    r = with_route(purchases).filter(F.col("route").isNotNull())
+    return _most_frequent(with_route(purchases), n)
+
+
+def _most_frequent(routed: DataFrame, n: int) -> DataFrame:
+    r = routed.filter(F.col("route").isNotNull())
     return (r.groupBy("route").agg(F.count(F.lit(1)).alias("n_purchases"))
              .orderBy(F.col("n_purchases").desc(), F.col("route").asc()).limit(n))
 
@@ -56,8 +60,9 @@ def next_route_targets(purchases: DataFrame, top_n: int | None = 20,
 def recommend_routes(purchases: DataFrame, k: int = 3,
                      n_partitions: int | None = None) -> DataFrame:
     p = with_route(purchases).select("client_id", "purchase_id", "purchased_at", "route")
-    pairs = with_next(p, "client_id", ORDER, ["route"], n_partitions=n_partitions) \
-        .filter(F.col("route").isNotNull() & F.col("next_route").isNotNull())
+    # Written once: transitions, route frequencies and each client's last route are read from it.
+    p = staged(with_next(p, "client_id", ORDER, ["purchase_id", "route"], n_partitions=n_partitions), "route-pairs")
+    pairs = p.filter(F.col("route").isNotNull() & F.col("next_route").isNotNull())
     trans = pairs.groupBy("route", "next_route").agg(F.count(F.lit(1)).alias("n"))
     w_rank = [F.col("n").desc(), F.col("next_route").asc()]
     from pyspark.sql import Window
@@ -66,11 +71,11 @@ def recommend_routes(purchases: DataFrame, k: int = 3,
     per_route = ranked.groupBy("route").agg(F.array_sort(F.collect_list(
         F.struct("rank", F.col("next_route").alias("rec"), F.col("n").alias("score")))).alias("recs"))
     # Global fallback: k rows, a literal array.
-    glob = top_routes(purchases, k).collect()
+    glob = _most_frequent(p, k).collect()
     fallback = F.array(*[F.struct(F.lit(i + 1).alias("rank"), F.lit(r["route"]).alias("rec"),
                                   F.lit(r["n_purchases"]).cast("long").alias("score"))
                          for i, r in enumerate(glob)]) if glob else F.array()
-    last = first_by_order(p, ["client_id"], [F.col("purchased_at").desc(), F.col("purchase_id").desc()])
+    last = p.filter(F.col("next_purchase_id").isNull())
     j = last.select("client_id", F.col("route").alias("last_route")) \
         .join(per_route, F.col("last_route") == per_route["route"], "left")
     recs = F.coalesce(F.col("recs"), fallback)

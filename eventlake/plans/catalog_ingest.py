@@ -183,3 +183,148 @@ def catalog_publish(spark, sf_dir):
     publish(silver, database, "events", base, "csv")
     remove_stale(spark, database, "events", base, grace_seconds=-1)
     return spark.table(f"{database}.events").withColumn("event_date", ts_str("event_date"))
+
+
+# --- jobs over files: archives, exports, client tables ------------------------------
+
+@register("silver_csv_to_gold", O.with_(O.GOLD_CTE, "SELECT * FROM gold"))
+def silver_csv_to_gold(spark, sf_dir):
+    """K1/S2 Silver written as a CSV with header and read back, then the Gold job on it."""
+    from eventlake.plans.catalog import _silver
+    from eventlake.plans.jobs import silver_to_gold
+    from eventlake.sinks.files import export_csv
+    base = scratch_dir(spark, "silver-csv")
+    export_csv(_silver(spark, sf_dir), f"{base}/events.csv")
+    silver_to_gold(spark, f"{base}/events.csv", f"{base}/gold", silver_format="csv")
+    return spark.read.parquet(f"{base}/gold")
+
+
+_STAMP = "20250101_000000"
+
+
+@register("gold_export_stamped", O.with_(O.GOLD_CTE, f"""
+SELECT nome, NULLIF(local, '') AS local, cidade, data, hora, origem, data_ingestao,
+       'gold/eventos_padronizados_{_STAMP}.csv' AS source_key FROM gold"""))
+def gold_export_stamped(spark, sf_dir):
+    """K3/K4/X7/P10 Gold exported under its run stamp with the display headers, read back by the export
+    reader (S6-S8)."""
+    from eventlake.plans.catalog import _silver
+    from eventlake.plans.jobs import silver_to_gold
+    from eventlake.schemas import GOLD_DISPLAY_NAMES
+    from eventlake.sources.documents import read_gold_exports
+    base = scratch_dir(spark, "gold-stamped")
+    _silver(spark, sf_dir).write.parquet(f"{base}/silver")
+    silver_to_gold(spark, f"{base}/silver", f"{base}/table", export_dir=f"{base}/exports/gold", run_stamp=_STAMP)
+    rows = read_gold_exports(spark, f"{base}/exports")
+    return rows.select(*[F.col(f"`{shown.lower()}`").alias(name) for name, shown in GOLD_DISPLAY_NAMES.items()], "source_key")
+
+
+@register("bronze_archive", O.with_(SILVER_FILES_CTE, """
+SELECT '2025-01-01' AS run_date, source, ingest_date, count(*) AS n_rows, count(DISTINCT event_url) AS n_urls, count(DISTINCT title) AS n_titles
+FROM unified GROUP BY source, ingest_date"""))
+def bronze_archive(spark, sf_dir):
+    """K9 the Bronze job's archive: every consumed row, duplicates included, by run, source and ingest date;
+    the same run twice leaves one copy."""
+    from eventlake.plans.jobs import bronze_to_silver
+    apply_defaults(spark)
+    root, base = scratch_dir(spark, "bronze-archived"), scratch_dir(spark, "archive")
+    standins.write_bronze_tree(spark, sf_dir, root)
+    for _ in range(2):
+        bronze_to_silver(spark, root, f"{base}/silver", run_date="2025-01-01", archive_path=f"{base}/rows", n_buckets=16)
+    rows = spark.read.parquet(f"{base}/rows")
+    by = [F.col(c).cast("string").alias(c) for c in ("run_date", "source", "ingest_date")]
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_url").alias("n_urls"),
+                                 F.count_distinct("title").alias("n_titles"))
+
+
+@register("silver_archive", O.with_(O.SILVER_CTE, """
+SELECT event_url, title, venue, city, event_date_text, strftime(event_date, '%Y-%m-%d %H:%M:%S') AS event_date,
+       source, ingest_date, '2025-01-01' AS run_date
+FROM silver"""))
+def silver_archive(spark, sf_dir):
+    """K10 the Gold job's archive: the consumed Silver rows under the run's date."""
+    from eventlake.plans.catalog import _silver
+    from eventlake.plans.jobs import silver_to_gold
+    base = scratch_dir(spark, "silver-archived")
+    _silver(spark, sf_dir).write.parquet(f"{base}/silver")
+    silver_to_gold(spark, f"{base}/silver", f"{base}/gold", archive_path=f"{base}/rows", run_date="2025-01-01")
+    return spark.read.parquet(f"{base}/rows").withColumn("run_date", F.col("run_date").cast("string"))
+
+
+@register("client_table_csv", O.with_(O.FEATURES_CTE, """
+SELECT f.client_id, i.client_id_seq, f.qtd_compras, CAST(f.gmv_total AS DOUBLE) AS gmv_total, f.seg_recorrencia, f.seg_velocidade, f.modal_route
+FROM features f JOIN ids i ON i.client_id = f.client_id"""))
+def client_table_csv(spark, sf_dir):
+    """K12/S10/J4 the clients job run twice: ids are kept in a client map, the final table is written as a
+    header CSV and read back with its types."""
+    from eventlake.plans.jobs import clients_job, read_client_table
+    apply_defaults(spark)
+    p, base = standins.purchases(spark, sf_dir), scratch_dir(spark, "client-table")
+    early = p.where(F.year("purchased_at") < 1970)  # no client yet: the map starts empty
+    clients_job(spark, early, f"{base}/first", as_of="1970-01-01", client_map_path=f"{base}/map")
+    clients_job(spark, p, f"{base}/clients", client_map_path=f"{base}/map", fmt="csv")
+    table = read_client_table(spark, f"{base}/clients", fmt="csv")
+    return table.select("client_id", "client_id_seq", "qtd_compras", F.col("gmv_total").cast("double").alias("gmv_total"),
+                        "seg_recorrencia", "seg_velocidade", "modal_route")
+
+
+@register("input_readiness", """
+SELECT r.name, CASE WHEN r.flag IS NOT NULL AND EXISTS (SELECT 1 FROM lineitem l WHERE l.l_returnflag = r.flag) THEN 'OK' ELSE 'FALTANDO' END AS status
+FROM (VALUES ('Bronze/database Sympla', 'A'), ('bronze/database Sympla', NULL), ('bronze/database Ticket360', 'N'),
+             ('Bronze/database Ticket360', NULL), ('Bronze/database Eventim', NULL), ('bronze/database Eventim', NULL),
+             ('Bronze/database Evetim', 'R'), ('bronze/database Evetim', NULL)) r(name, flag)""")
+def input_readiness(spark, sf_dir):
+    """S9/S3 every registered feed folder of a Bronze tree: there with files, or missing."""
+    from eventlake.schemas import FEED_FOLDERS
+    from eventlake.sources.feeds import readiness
+    apply_defaults(spark)
+    root = scratch_dir(spark, "bronze-ready")
+    standins.write_bronze_tree(spark, sf_dir, root)
+    return readiness(spark, {f: f"{root}/{f}" for folders in FEED_FOLDERS.values() for f in folders}).select("name", "status")
+
+
+# --- whole inputs where other queries take a part -----------------------------------
+
+@register("gold_missing_columns", O.with_(O.GOLD_CTE, """
+SELECT nome, CAST(NULL AS VARCHAR) AS local, cidade, data, hora, origem, CAST(NULL AS VARCHAR) AS data_ingestao FROM gold"""))
+def gold_missing_columns(spark, sf_dir):
+    """P8 Gold from a Silver frame without venue and ingest date: null-filled."""
+    from eventlake.operators.gold import build_gold
+    from eventlake.plans.catalog import _silver
+    return build_gold(_silver(spark, sf_dir).drop("venue", "ingest_date"))
+
+
+@register("pt_date_rows", O.with_(O.SILVER_CTE, """
+SELECT source, event_date_text, ingest_date, strftime(event_date, '%Y-%m-%d %H:%M:%S') AS event_date, count(*) AS n_rows
+FROM unified GROUP BY ALL"""))
+def pt_date_rows(spark, sf_dir):
+    """X1/X2/X3 every listing's date text with the timestamp read from it, row by row (equal rows counted)."""
+    from eventlake.operators.silver import map_feed, unify
+    apply_defaults(spark)
+    rows = unify([map_feed(df, feed) for feed, df in standins.bronze_feeds(spark, sf_dir).items()])
+    rows = rows.withColumn("event_date", ts_str("event_date"))
+    return rows.groupBy("source", "event_date_text", "ingest_date", "event_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("doc_id_exports", O.with_(_DOCS_SQL, "SELECT * FROM d1 UNION ALL SELECT * FROM d2"))
+def doc_id_exports(spark, sf_dir):
+    """S8/P3/P12/P13/X18 documents of both exports."""
+    from eventlake.operators.serve import flatten_documents
+    from eventlake.plans.catalog import _docs
+    apply_defaults(spark)
+    first, second = _docs(spark, sf_dir)
+    return flatten_documents(first.unionByName(second))
+
+
+@register("city_filter_feeds", O.with_(O.SILVER_CTE, """
+SELECT source, trim(city) AS cidade, count(*) AS n_rows FROM unified
+WHERE city IS NOT NULL AND length(trim(city)) > 0 AND lower(trim(city)) NOT IN ('null', 'none', 'n/a', 'na')
+GROUP BY source, trim(city)"""))
+def city_filter_feeds(spark, sf_dir):
+    """P9/P14/F2 usable cities of all three feeds after mapping."""
+    from eventlake.functions.text import is_usable_city
+    from eventlake.operators.silver import map_feed, unify
+    apply_defaults(spark)
+    rows = unify([map_feed(df, feed) for feed, df in standins.bronze_feeds(spark, sf_dir).items()])
+    rows = rows.select("source", F.trim("city").alias("cidade")).filter(is_usable_city("cidade"))
+    return rows.groupBy("source", "cidade").agg(F.count(F.lit(1)).alias("n_rows"))
