@@ -82,10 +82,10 @@ def _src_file(root: F.Column, site: str, feed: str, dated: F.Column) -> F.Column
             .otherwise(F.concat(folder, name))
 
 
-def bronze_feeds(spark: SparkSession, sf_dir: str, with_keys: bool = False) -> dict[str, DataFrame]:
+def bronze_feeds(spark: SparkSession, sf_dir: str, with_keys: bool = False, rows: DataFrame | None = None) -> dict[str, DataFrame]:
     """The three raw feeds (all-string columns in file order) plus ``src_file``
     (and, with ``with_keys``, the listing's order/line/segment for page rendering)."""
-    rows = listing_rows(spark, sf_dir)
+    rows = listing_rows(spark, sf_dir) if rows is None else rows
     keys = [F.col("l_orderkey").alias("_order"), F.col("l_linenumber").alias("_line"),
             F.col("c_mktsegment").alias("_segment"), F.col("ship").alias("_ship")] if with_keys else []
     url = F.concat(F.lit(EVENT_URL_BASE), F.col("l_orderkey").cast("string"))
@@ -322,8 +322,9 @@ def write_bronze_tree(spark: SparkSession, sf_dir: str, root: str, vary_headers:
     With ``vary_headers`` half of the second feed's files use another column order
     (under the other case variant of the root)."""
     from eventlake.schemas import FEED_SCHEMAS
+    from eventlake.session import staged
     from eventlake.sinks.files import rename_partition_dirs, write_bronze
-    feeds = bronze_feeds(spark, sf_dir, with_keys=True)
+    feeds = bronze_feeds(spark, sf_dir, with_keys=True, rows=staged(listing_rows(spark, sf_dir), "listing-rows"))
     for feed, df in feeds.items():
         if only and feed not in only:
             continue
