@@ -673,7 +673,7 @@ cards AS (
 )""", "SELECT site, url, title, place, city, date FROM cards WHERE keep = 1"))
 def cards_listing(spark, sf_dir):
     """H3-H5 card extraction from listing pages of the three site layouts
-    (mapInPandas + html.parser), X5/X6/X10/X11/X13 field rules, H6 stop at the
+    (mapInPandas + a small tree builder), X5/X6/X10/X11/X13 field rules, H6 stop at the
     first empty page, D2/F5 first-seen URL per listing, U2 all pages appended."""
     return _cards(spark, sf_dir)
 
