@@ -9,8 +9,8 @@ zero counts as one where it divides, and the base is 2 at least.  An element's d
 The element with the largest sum is the core of the article, and the least density on the path from
 it up to the body is the threshold: below the body, every topmost element at or above the threshold
 gives the element with the largest sum in its subtree, and the texts of all chosen are the article.
-If an ``article`` or ``main`` element encloses the core, it is taken whole instead, so that short
-paragraphs beside the core are not lost; elsewhere headings, paragraphs, lists and tables beside a
+If an ``article`` or ``main`` element encloses the core, it is taken whole instead, with an ``h1`` just before
+it if it holds none, so that short paragraphs beside the core are not lost; elsewhere headings, paragraphs, lists and tables beside a
 chosen element are taken too if less than half of their text is links.
 
 Elements that are never part of an article are cut first: by tag (scripts, styles, forms, menus,
@@ -49,10 +49,11 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 #: Cells and line breaks separate words, not blocks.
 SPACED = frozenset("br td th".split())
 WHOLE = frozenset(("article", "main"))
-CUES = frozenset("ad ads adbox adsense advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr "
-                 "notice notices notification alert popup modal overlay comment comments commentlist respond replies disqus sidebar nav navbar navigation "
-                 "menu breadcrumb breadcrumbs footer masthead share sharing social related recommended newsletter subscribe signup login pagination pager toolbar "
-                 "skip-link".split())
+CUES = frozenset("ad ads adbox adsbygoogle adsense adunit advert adverts advertisement advertising banner sponsor sponsored promo promos promotion "
+                 "cookie cookies cookiebar cookiebanner cookieconsent cookienotice consent gdpr notice notices notification alert popup modal overlay "
+                 "comment comments commentlist respond responses replies discussion disqus feedback sidebar nav navbar navigation menu breadcrumb breadcrumbs "
+                 "footer masthead share sharing social related recommended trending teaser teasers newsletter subscribe signup login pagination pager "
+                 "toolbar skip-link copyright".split())
 #: Cues of a page's head outside articles, unless one of the second set goes with them.
 HEADS, HEADINGS = frozenset(("header", "topbar")), frozenset("article entry post story content".split())
 #: Class words that begin so tell what an element goes with, not what it is.
@@ -69,8 +70,10 @@ FENCES = frozenset("ul ol dl table select body html article section div main".sp
 TOKEN = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))
   | <(?P<end>/)?(?P<name>[A-Za-z][^\s/><]*)(?P<attrs>(?:[^<>=]++|=\s*+(?:"[^"]{0,65536}+"|'[^']{0,65536}+')?)*+)(?:>|(?=<)|\Z)
   | <[!?/][^>]*+(?:>|\Z)""", re.S | re.X)
-ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden)(?=[\s=/]|$)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|style|aria-hidden|hidden)(?=[\s=/]|$)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: Words of a name: at hyphens, underscores and humps; a number at the end does not count.
 SPLIT = re.compile(r"[\s_-]+")
+HUMP, NUMBER, NOT_SHOWN = re.compile(r"(?<=[a-z])(?=[A-Z])"), re.compile(r"\d+$"), re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Tree:
@@ -157,12 +160,18 @@ def cued(name: str, attrs: str) -> tuple[bool, bool]:
         return False, False
     head = False
     for kind, a, b, c in ATTRIBUTE.findall(attrs):
-        words, kind = (a or b or c).lower().split(), kind.lower()
-        if kind == "hidden" or kind == "role" and ROLES.intersection(words):
+        value, kind = a or b or c, kind.lower()
+        words = value.lower().split()
+        if kind == "hidden" or kind == "aria-hidden" and words == ["true"] or kind == "style" and NOT_SHOWN.search(value):
+            return True, False
+        if kind == "role" and ROLES.intersection(words):
             return True, False
         if kind in ("class", "id"):
             # An article's class list often says more than what it is: only whole words count there.
-            parts = set(words) if name in WHOLE else {p for word in words if not word.startswith(ABOUT) for p in (word, *SPLIT.split(word))}
+            parts = set(words)
+            if name not in WHOLE:
+                named = [w for w in HUMP.sub("-", value).lower().split() if not w.startswith(ABOUT)]
+                parts = {NUMBER.sub("", p) for w in (*words, *named) if not w.startswith(ABOUT) for p in (w, *SPLIT.split(w))}
             if CUES & parts:
                 return True, False
             head = head or bool(HEADS & parts) and not HEADINGS & parts
@@ -216,6 +225,12 @@ def densities(tree: Tree, gone: list[bool], sizes: list[int]) -> tuple[list[floa
     return density, total, [lc / max(c, 1) for c, lc in zip(chars, linked)]
 
 
+def inside(tree: Tree, i: int, around: int) -> bool:
+    while i > around:
+        i = tree.parent[i]
+    return i == around
+
+
 def chosen_elements(tree: Tree, gone: list[bool], density: list[float], total: list[float], link_share: list[float]) -> set[int]:
     """The elements that make up the article; everything below them belongs to it."""
     n = len(tree.name)
@@ -226,7 +241,10 @@ def chosen_elements(tree: Tree, gone: list[bool], density: list[float], total: l
         path.append(i)
     whole = next((i for i in path if tree.name[i] in WHOLE), None)
     if whole is not None:
-        return {whole}
+        # A title just before an article that has none belongs to it.
+        before = [i for i in range(1, whole) if tree.parent[i] == tree.parent[whole] and tree.name[i] == "h1" and not gone[i]]
+        titled = any(tree.name[i] == "h1" and inside(tree, i, whole) for i in range(whole + 1, n))
+        return {whole} if titled else {whole, *before[-1:]}
     if tree.name[core] in ("body", "html"):
         return {core}
     threshold, around = min(density[i] for i in path), set(path[1:])

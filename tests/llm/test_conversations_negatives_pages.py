@@ -253,6 +253,13 @@ def test_layouts_without_article_elements(spark):
         f"Title\n{line}\nShort.\n{LONG}boldly\none\ntwo & three", f"Title\n{(LONG * 9).strip()}\nx", f"T\n{(LONG * 5).strip()}\nOnly this.", f"Title\n{line}\nQuote\n{line}"]
 
 
+def test_titles_and_hidden_parts(spark):
+    body = f"<p>{LONG}</p>"
+    pages = [f"<body><main><h1>Title</h1><article>{body}<div class='cookieNotice'>no</div><p style='display: none'>no</p><ins class=adsbygoogle>no</ins></article></main></body>",
+             f"<body><div><h1>Site</h1></div><h1>Old</h1><article><h1>Own</h1>{body}<div id=ad2>no</div><span aria-hidden=true>no</span></article></body>"]
+    assert texts(spark, pages) == [f"Title\n{LONG.strip()}", f"Own\n{LONG.strip()}"]
+
+
 def test_link_lists_lose_against_text(spark):
     links = "".join(f"<li><a href=/{i}>A link with quite some words in it, number {i}</a></li>" for i in range(60))
     page = f"<body><div><ul>{links}</ul></div><div><p>{LONG}</p><p>{LONG}</p></div></body>"
