@@ -25,7 +25,7 @@ def test_registry():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     own = {k for k in q if re.match(r"op\d+_", k) or k == "pipeline"}
-    assert len(own) == (11 if importlib.util.find_spec("eventlake.llm") else 0)
+    assert len(own) == (14 if importlib.util.find_spec("eventlake.llm") else 0)
 
 
 @pytest.mark.parametrize("name", FAST)
