@@ -5,9 +5,12 @@ from __future__ import annotations
 import sys
 import types
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from eventlake.session import drop_folder
+
 #: The white space that separates words, as a Java regex class and its complement.
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
@@ -33,15 +36,60 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Folders written by the steps that are under way, one list for each open :func:`temporary`.
+_written: list[list[str]] = []
+#: Removes an action's shuffle files when the action ends: what a cut needs is in the cut.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(spark: SparkSession, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later steps neither recompute
     it nor depend on the executors that made it."""
     path = shared_path(spark, name)
     writer = df.write.option("compression", "lz4")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    writer = writer.partitionBy(partition_by) if partition_by else writer
+    if _written:
+        _written[-1].append(path)
+        tidily(spark, lambda: writer.parquet(path))
+    else:
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidily(spark: SparkSession, action) -> None:
+    """Run an action whose shuffle files go when it ends; the session's setting is put back."""
+    before = spark.conf.get(TIDY, None)
+    spark.conf.set(TIDY, "true")
+    try:
+        action()
+    finally:
+        spark.conf.unset(TIDY) if before is None else spark.conf.set(TIDY, before)
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Within it, cuts are removed when it ends, but for those made by the function it gives:
+    ``with temporary(spark) as keep: ...; return keep(df, name)``.  A kept cut belongs to the next outer one."""
+    _written.append([])
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        mine = _written.pop()  # the cut is the outer one's, or nobody's
+        try:
+            path = shared_path(spark, name)
+            if _written:
+                _written[-1].append(path)
+            tidily(spark, lambda: df.write.option("compression", "lz4").parquet(path))
+            return spark.read.schema(df.schema).parquet(path)
+        finally:
+            _written.append(mine)
+
+    try:
+        yield keep
+    finally:
+        for path in _written.pop():
+            drop_folder(spark, path)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small, so that a run of very long texts fits a worker's memory."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000),
@@ -72,14 +120,15 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     (pointer jumping), until nothing changes.  A vertex with very many neighbours costs
     partial minima only.
     """
-    both = cut(spark, edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "cc-edges")
-    labels = cut(spark, both.groupBy(F.col("a").alias("id")).agg(F.least("a", F.min("b")).alias("component")), "cc-labels")
-    while True:
-        near = (both.join(labels, both.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near")))
-        up = labels.select(F.col("id").alias("component"), F.col("component").alias("up"))
-        new = labels.join(near, "id").join(up, "component").select("id", F.least("component", "near", "up").alias("new"), "component")
-        # What changed is read from the written rows: an observer would stay in the session and end up in later closures.
-        new = cut(spark, new.select("id", F.col("new").alias("component"), (F.col("new") < F.col("component")).alias("moved")), "cc-labels")
-        labels = new.drop("moved")
-        if new.where("moved").isEmpty():
-            return labels
+    with temporary(spark) as keep:
+        both = cut(spark, edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "cc-edges")
+        labels = cut(spark, both.groupBy(F.col("a").alias("id")).agg(F.least("a", F.min("b")).alias("component")), "cc-labels")
+        while True:
+            near = (both.join(labels, both.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near")))
+            up = labels.select(F.col("id").alias("component"), F.col("component").alias("up"))
+            new = labels.join(near, "id").join(up, "component").select("id", F.least("component", "near", "up").alias("new"), "component")
+            # What changed is read from the written rows: an observer would stay in the session and end up in later closures.
+            new = cut(spark, new.select("id", F.col("new").alias("component"), (F.col("new") < F.col("component")).alias("moved")), "cc-labels")
+            labels = new.drop("moved")
+            if new.where("moved").isEmpty():
+                return keep(labels, "cc-components")

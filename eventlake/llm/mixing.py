@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from eventlake.llm.common import SPACE, WORD, cut, table, word_count
+from eventlake.llm.common import SPACE, WORD, cut, table, temporary, word_count
 
 WEIGHTS, BUDGET, MAX_EPOCHS, BUCKETS = (5.0, 2.0, 1.0), 1.5, 2.0, 4096
 
@@ -57,15 +57,10 @@ def weigh(sources: DataFrame, weights: tuple[float, ...]) -> DataFrame:
     return ranged.join(before, "part").select("source", "source_size", F.element_at(listed, (rank % len(weights) + 1).cast("int")).alias("weight"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-        weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, max_epochs: float = MAX_EPOCHS,
-        seed: int = 17, buckets: int = BUCKETS) -> DataFrame:
-    """Per document row: (id, source, size, source_size, target, taken)."""
-    spark = docs.sparkSession
-    key = F.xxhash64(F.lit(seed), F.col(id_col).cast("string"))
-    sized = cut(spark, docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-                                   word_count(F.col(text_col)).alias("size"), key.alias("key"))
-                .withColumn("bucket", F.pmod("key", F.lit(buckets))), "mix-sizes")
+def bucket_plan(sized: DataFrame, weights: tuple[float, ...], budget: float, max_epochs: float) -> DataFrame:
+    """source, bucket, words, source_size, target, whole (passes) and ``left``: what is left of the partial
+    pass at the start of each bucket of ``sized(source, bucket, size)``: all of it, some or none."""
+    spark = sized.sparkSession
     sums = cut(spark, sized.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mix-buckets")
     sources = sums.groupBy("source").agg(F.sum("words").alias("source_size"))
     total = sums.agg(F.sum("words")).first()[0] or 0
@@ -76,34 +71,64 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     running = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     plan = (sums.withColumn("before", F.coalesce(F.sum("words").over(running), F.lit(0)))
             .alias("s").join(targets.alias("t"), F.expr("s.source <=> t.source")).drop(F.col("t.source")))
-    # What is left of the partial pass at the start of each bucket: all of it, some or none.
-    plan = cut(spark, plan.withColumn("left", F.greatest(F.lit(0), F.least("words", F.col("part") - F.col("before")))), "mix-plan")
-    joined = sized.alias("d").join(plan.alias("p"), F.expr("d.source <=> p.source and d.bucket = p.bucket")).select(
-        "id", "d.source", "size", "source_size", "target", "key", "p.bucket", "whole", "words", "left")
-    partial = F.col("left").between(1, F.col("words") - 1)
-    order = Window.partitionBy("source", "bucket").orderBy("key", "size", "id").rowsBetween(Window.unboundedPreceding, -1)
-    split = joined.where(partial).withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0))).withColumn(
-        "extra", F.greatest(F.lit(0), F.least("size", F.col("left") - F.col("before")))).drop("before")
-    plain = joined.where(~partial).withColumn("extra", F.when(F.col("left") > 0, F.col("size")).otherwise(0).cast("long"))
-    return plain.unionByName(split).select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
-        (F.col("whole") * F.col("size") + F.col("extra")).alias("taken"))
-
-
-def mixed_rows(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", **options) -> DataFrame:
+    return plan.withColumn("left", F.greatest(F.lit(0), F.least("words", F.col("part") - F.col("before")))).drop("before", "part", "weight")
+
+
+def decided(rows: DataFrame, plan: DataFrame, prefix: str, ties: list[str]) -> DataFrame:
+    """``rows`` with the plan's columns and ``taken``; those a row has (source, bucket, key, size) are named with ``prefix``.
+    ``ties`` order rows of one key and size.
+
+    Only the one bucket of a source that the partial pass ends in is ordered."""
+    own = {c: F.col(prefix + c) for c in ("source", "bucket", "key", "size")}
+    named = plan.select(*[F.col(c).alias("__plan_" + c) for c in plan.columns])
+    joined = rows.join(named, own["source"].eqNullSafe(F.col("__plan_source")) & (own["bucket"] == F.col("__plan_bucket")))
+    left = F.col("__plan_left")
+    partial = left.between(1, F.col("__plan_words") - 1)
+    order = Window.partitionBy("__plan_source", "__plan_bucket").orderBy(own["key"], own["size"], *ties).rowsBetween(Window.unboundedPreceding, -1)
+    split = joined.where(partial).withColumn("__plan_before", F.coalesce(F.sum(own["size"]).over(order), F.lit(0))).withColumn(
+        "__plan_extra", F.greatest(F.lit(0), F.least(own["size"], left - F.col("__plan_before")))).drop("__plan_before")
+    plain = joined.where(~partial).withColumn("__plan_extra", F.when(left > 0, own["size"]).otherwise(0).cast("long"))
+    return plain.unionByName(split).withColumn(prefix + "taken", F.col("__plan_whole") * own["size"] + F.col("__plan_extra"))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+        weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, max_epochs: float = MAX_EPOCHS,
+        seed: int = 17, buckets: int = BUCKETS) -> DataFrame:
+    """Per document row: (id, source, size, source_size, target, taken)."""
+    spark = docs.sparkSession
+    key = F.xxhash64(F.lit(seed), F.col(id_col).cast("string"))
+    sized = cut(spark, docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
+                                   word_count(F.col(text_col)).alias("size"), key.alias("key"))
+                .withColumn("bucket", F.pmod("key", F.lit(buckets))), "mix-sizes")
+    plan = cut(spark, bucket_plan(sized, weights, budget, max_epochs), "mix-plan")
+    return decided(sized, plan, "", ["id"]).select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size",
+                                       F.col("__plan_source_size").alias("source_size"), F.col("__plan_target").alias("target"), "taken")
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", length_col: str | None = "n_chars",
+               weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, max_epochs: float = MAX_EPOCHS,
+               seed: int = 17, buckets: int = BUCKETS) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, columns unchanged; a fractional
-    repetition is a row with the text's first words, whose length column follows."""
+    repetition is a row with the text's first words, whose length column follows.
+
+    Rows are dealt by a hash of id and text.  Texts are neither copied nor shuffled, but for the one bucket of
+    each source that the partial pass ends in: every other row is decided by the small plan alone."""
     spark = docs.sparkSession
-    numbered = cut(spark, docs.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
-    taken = mix(numbered, id_col="__row", text_col=text_col, **options).select("__row", F.col("size").alias("__size"), F.col("taken").alias("__taken"))
+    key = F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), F.col(text_col))
+    rows = docs.withColumns({"__source": F.col(source_col).cast("string"), "__size": word_count(F.col(text_col)), "__key": key,
+                             "__bucket": F.pmod(key, F.lit(buckets))})
+    with temporary(spark) as keep:
+        sized = cut(spark, rows.select(*[F.col("__" + c).alias(c) for c in ("source", "size", "bucket")]), "mix-sizes")
+        plan = keep(bucket_plan(sized, weights, budget, max_epochs), "mix-plan")
+    taken = decided(rows, plan, "__", [id_col, text_col]).where("__taken > 0")
     rest = F.col("__taken") % F.col("__size")
     repeats = F.concat(F.array_repeat(F.col("__size"), (F.col("__taken") / F.col("__size")).cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    rows = numbered.join(taken.where("__taken > 0"), "__row").withColumn("__words", F.explode(repeats))
+    rows = taken.withColumn("__words", F.explode(repeats))
     first = F.array_join(F.slice(F.regexp_extract_all(text_col, F.lit(rf"[{SPACE}]*+{WORD}"), F.lit(0)), 1, F.col("__words").cast("int")), "")
-    rows = rows.withColumn(text_col, F.when(F.col("__words") < F.col("__size"), first).otherwise(F.col(text_col)))
     if length_col in docs.columns:
         kind = docs.schema[length_col].dataType
-        rows = rows.withColumn(length_col, F.when(F.col("__words") < F.col("__size"), F.length(text_col).cast(kind)).otherwise(F.col(length_col)))
+        rows = rows.withColumn(length_col, F.when(F.col("__words") < F.col("__size"), F.length(first).cast(kind)).otherwise(F.col(length_col)))
+    rows = rows.withColumn(text_col, F.when(F.col("__words") < F.col("__size"), first).otherwise(F.col(text_col)))
     return rows.select(docs.columns)
 
 
