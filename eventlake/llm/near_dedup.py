@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from eventlake.llm.common import bounded_batches, connected_components, cut, table
+from eventlake.llm.common import bounded_batches, connected_components, cut, table, temporary
 
 WORDS, PERCENT = 5, 80
 SKETCH, LISTED, LONG = 64, 24, 64
@@ -214,7 +214,14 @@ def work_off(spark: SparkSession, lists: DataFrame, comp: DataFrame, sketch: Dat
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id, kept) per row; links have 100 * both >= percent * either."""
+    """(id, n_shingles, component_id, kept) per row; links have 100 * both >= percent * either.
+
+    Everything written on the way is removed; the result stays."""
+    with temporary(docs.sparkSession) as keep:
+        return keep(_near_duplicates(docs, id_col, text_col, words, percent), "near-components")
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = cut(spark, sketches(docs, id_col, text_col, words), "near-sketches")
