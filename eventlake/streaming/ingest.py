@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators.serve import build_documents
-from eventlake.operators.silver import map_records, survivor_order
+from eventlake.operators.silver import dated_survivors, map_records, survivor_order
 from eventlake.sources.documents import export_key, export_rows, formats_of
 from eventlake.sinks.tables import dedupe_merge, set_merge, upsert_buckets
 from eventlake.sources.feeds import feeds_records, path_exists
@@ -50,9 +50,8 @@ def start_silver_stream(spark: SparkSession, root: str, table_path: str, checkpo
     merge = dedupe_merge(survivor_order(), "event_url")
 
     def batch(df, epoch_id):
-        events = map_records(feeds_records(numbered(df)), **options)
-        usable = events.filter(F.col("event_url").isNotNull() & (F.length("event_url") > 0))
-        upsert_buckets(df.sparkSession, table_path, usable, "event_url", merge, n_buckets)
+        texts = map_records(feeds_records(numbered(df)), dates=False, **options)
+        upsert_buckets(df.sparkSession, table_path, dated_survivors(texts, **options), "event_url", merge, n_buckets)
 
     return _start(line_stream(spark, root, archive_dir, max_files), batch, checkpoint, available_now)
 
