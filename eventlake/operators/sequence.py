@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.session import checkpoint_root
+from eventlake.session import drop_folder, scratch_dir, staged
 
 
 def _parts(df: DataFrame, n: int | None) -> int:
@@ -29,17 +29,22 @@ def _parts(df: DataFrame, n: int | None) -> int:
 
 def _ranged(df: DataFrame, key: str, order: list[str], n: int | None) -> DataFrame:
     """Range-partition on (key, order), tag each row with its partition id, and
-    checkpoint the result to the shared checkpoint folder.
+    write the result to the shared checkpoint folder.
 
-    The checkpoint matters for correctness: range bounds come from a sample
+    That write matters for correctness: range bounds come from a sample
     seeded by the RDD id, so two evaluations of the same plan (the two branches
-    that read a run and its boundary) could split differently.  A reliable
-    checkpoint fixes one assignment and also survives executor loss.
+    that read a run and its boundary) could split differently.  A written table
+    fixes one assignment and also survives executor loss.  The input is written
+    too, until then: the sample and its extra passes over uneven partitions would
+    otherwise evaluate all that ``df`` is made of again.
     """
-    checkpoint_root(df.sparkSession)
-    ranged = (df.repartitionByRange(_parts(df, n), key, *order)
-                .withColumn("_pid", F.spark_partition_id()))
-    return ranged.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_dir(spark, "sequence-input")
+    df.write.parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path)
+    out = staged(rows.repartitionByRange(_parts(df, n), key, *order).withColumn("_pid", F.spark_partition_id()), "sequence")
+    drop_folder(spark, path)
+    return out
 
 
 def with_next(df: DataFrame, key: str, order: list[str], cols: list[str],

@@ -829,8 +829,9 @@ def purchase_event_proximity(spark, sf_dir):
     K11 past/future split of the Silver events at the run date."""
     from eventlake.operators.enrich import event_proximity_counts
     from eventlake.operators.silver import split_by_run_date
+    from eventlake.session import staged
     p = _purchases(spark, sf_dir)
-    silver = _silver(spark, sf_dir)
+    silver = staged(_silver(spark, sf_dir), "silver-rows")  # split, then read from both parts
     past, future = split_by_run_date(silver, "1998-08-02")
     events = past.unionByName(future)
     return event_proximity_counts(p, events, 30, 30)
