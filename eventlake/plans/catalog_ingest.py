@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from eventlake.plans import oracle as O
 from eventlake.plans import standins
 from eventlake.plans.catalog import _DOCS_SQL, register, ts_str
-from eventlake.session import apply_defaults, scratch_dir
+from eventlake.session import apply_defaults, scratch_dir, staged
 
 #: Rows of one feed and month lie in one file, so the file never decides between two of them.
 SILVER_FILES_CTE = O.SILVER_MONTH_CTE.replace("src_file ASC NULLS LAST,", "")
@@ -178,7 +178,7 @@ def catalog_publish(spark, sf_dir):
     from eventlake.sinks.publish import publish, remove_stale
     apply_defaults(spark)
     base, database = scratch_dir(spark, "published"), f"eventlake_{uuid.uuid4().hex[:8]}"
-    silver = _silver(spark, sf_dir)
+    silver = staged(_silver(spark, sf_dir), "silver-rows")
     publish(silver.where("source = 'sympla'"), database, "events", base, "csv")
     publish(silver, database, "events", base, "csv")
     remove_stale(spark, database, "events", base, grace_seconds=-1)
