@@ -26,7 +26,7 @@ from eventlake.operators.evaluate import auc
 from eventlake.operators.labels import cutoff_labels
 from eventlake.operators.routes import next_route_targets
 from eventlake.operators.sequence import with_next, with_running_sum
-from eventlake.session import checkpoint_root
+from eventlake.session import staged
 
 FEATURES_7_30 = ["n_purchases", "gmv_before_d", "days_since_last"]
 #: Boosting: at most so many trees of so many levels; training ends when the validation loss stops falling.
@@ -98,7 +98,7 @@ def _history_features(purchases: DataFrame) -> DataFrame:
     previous purchase of ``x`` is the row whose next purchase is ``x``."""
     order = ["purchased_at", "purchase_id"]
     base = purchases.select("client_id", "purchase_id", "purchased_at")
-    nxt = with_next(base, "client_id", order, ["purchase_id", "purchased_at"])
+    nxt = staged(with_next(base, "client_id", order, ["purchase_id", "purchased_at"]), "next-purchases")  # read twice
     prev = nxt.filter(F.col("next_purchase_id").isNotNull()).select(
         F.col("next_purchase_id").alias("purchase_id"), F.col("purchased_at").alias("prev_at"))
     counts = with_running_sum(base, "client_id", order, F.lit(1), "n_so_far")
@@ -117,9 +117,8 @@ def next_route_model(purchases: DataFrame, split_date: str, top_n: int = 20,
     feats = _history_features(purchases)
     rows = targets.join(feats, "purchase_id").join(
         purchases.select("purchase_id", F.to_date("purchased_at").alias("d")), "purchase_id")
-    # Estimators pass over their input several times: cut the lineage once.
-    checkpoint_root(purchases.sparkSession)
-    rows = rows.checkpoint(eager=True)
+    # Estimators pass over their input several times: written once.
+    rows = staged(rows, "route-rows")
     # A label is known only once the next purchase is made: it too must lie before the split.
     split = F.lit(split_date).cast("date")
     train = rows.filter((F.col("d") < split) & (F.col("next_d") < split))

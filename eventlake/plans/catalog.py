@@ -757,7 +757,8 @@ def ml_route(spark, sf_dir):
     """R4 next-route classifier (random forest over route + client history, top-20
     classes, time split); predictions for the held-out purchases."""
     from eventlake.operators.ml import next_route_model
-    p = _purchases(spark, sf_dir)
+    from eventlake.session import staged
+    p = staged(_purchases(spark, sf_dir), "purchases")
     r = p.agg(F.min(F.to_date("purchased_at")), F.max(F.to_date("purchased_at"))).first()
     split = str(r[0] + (r[1] - r[0]) * 3 // 4)
     pred, _ = next_route_model(p, split)
