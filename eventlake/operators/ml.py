@@ -34,10 +34,9 @@ BOOST_TREES, BOOST_DEPTH, BOOST_STEP = 30, 3, 0.2
 
 
 def horizon_rows(purchases: DataFrame, cutoffs: list, horizon: int, as_of: str) -> DataFrame:
-    """Labelled (client, cutoff) rows, checkpointed: estimators pass over them several times."""
+    """Labelled (client, cutoff) rows, written once: estimators pass over them several times."""
     rows = cutoff_labels(purchases, cutoffs, horizon, as_of).withColumn("gmv_before_d", F.col("gmv_before").cast("double"))
-    checkpoint_root(purchases.sparkSession)
-    return rows.filter(F.col("label").isNotNull()).withColumn("label", F.col("label").cast("double")).checkpoint(eager=True)
+    return staged(rows.filter(F.col("label").isNotNull()).withColumn("label", F.col("label").cast("double")), "horizon-rows")
 
 
 def horizon_scores(rows: DataFrame, cutoffs: list, split_date: str, estimator: str = "linear", seed: int = 7) -> tuple[DataFrame, object]:
