@@ -26,7 +26,7 @@ from eventlake.operators.evaluate import auc
 from eventlake.operators.labels import cutoff_labels
 from eventlake.operators.routes import next_route_targets
 from eventlake.operators.sequence import with_next, with_running_sum
-from eventlake.session import staged
+from eventlake.session import checkpoint_root, staged
 
 FEATURES_7_30 = ["n_purchases", "gmv_before_d", "days_since_last"]
 #: Boosting: at most so many trees of so many levels; training ends when the validation loss stops falling.
@@ -116,8 +116,10 @@ def next_route_model(purchases: DataFrame, split_date: str, top_n: int = 20,
     feats = _history_features(purchases)
     rows = targets.join(feats, "purchase_id").join(
         purchases.select("purchase_id", F.to_date("purchased_at").alias("d")), "purchase_id")
-    # Estimators pass over their input several times: written once.
-    rows = staged(rows, "route-rows")
+    # Estimators pass over their input several times: cut the lineage once.  A checkpoint keeps the rows' partitions
+    # as they are, on which the forest's bootstrap samples depend.
+    checkpoint_root(purchases.sparkSession)
+    rows = rows.checkpoint(eager=True)
     # A label is known only once the next purchase is made: it too must lie before the split.
     split = F.lit(split_date).cast("date")
     train = rows.filter((F.col("d") < split) & (F.col("next_d") < split))
