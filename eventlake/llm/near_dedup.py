@@ -9,9 +9,14 @@ exact Jaccard similarity of the full sets confirms.
 A list longer than ``LONG`` (a passage many documents share, a large family of copies) emits no
 pairs of its own.  A pair that such lists alone connect has frequent values among at least a
 third of either sketch; those documents alone are ranked again by re-mixed values of the same
-hash, in bands.  A band's short list emits its pairs; a long one is worked off by leaders: the
+hash, in bands.  Each takes a pivot, the most central document it shares a band with, and keeps
+its difference from it: the values that only one of the two holds.  Two sets differ in as many
+values as their differences from one pivot do, so pairs with one pivot are settled exactly by
+these small differences, and most are by their sizes alone: first each member with its pivot, then
+with the member next to the pivot, then what lies in two components.  Only pairs with two pivots are
+left to the bands.  A band's short list emits its pairs; a long one is worked off by leaders: the
 first members of its ``LED`` first components are compared with all members of other
-components, components grow, and so on with four times as many, until all have led or so few
+components, components grow, and so on with sixteen times as many, until all have led or so few
 members are left that each can be compared.  So work is in proportion to the members, not to their pairs, for the
 first members of a family already join it.  What remains is compared across components.
 
@@ -32,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from eventlake.llm.common import bounded_batches, connected_components, cut, table, temporary
+from eventlake.llm.common import bounded_batches, connected_components, cut, release, table, temporary
 
 WORDS, PERCENT = 5, 80
 SKETCH, LISTED, LONG = 64, 24, 64
@@ -85,7 +90,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
 
 
 def full_sets(docs: DataFrame, needed: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(node, hashes) of the representatives in ``needed(node, rep, cls)``."""
+    """(node, hashes) of the representatives in ``needed(node, rep, cls, times)``; only those whose row is
+    there several times are dealt out to be made one."""
     def run(batches):
         for batch in batches:
             rows = []
@@ -97,7 +103,8 @@ def full_sets(docs: DataFrame, needed: DataFrame, id_col: str, text_col: str, si
                                              ["node", "hashes"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    return texts.join(needed, "rep").select("node", "cls", "text").mapInArrow(run, "node bigint, hashes binary").dropDuplicates(["node"])
+    sets = lambda some: texts.join(some, "rep").select("node", "cls", "text").mapInArrow(run, "node bigint, hashes binary")
+    return sets(needed.where("times = 1")).unionByName(sets(needed.where("times > 1")).dropDuplicates(["node"]))
 
 
 def list_pairs(lists: DataFrame) -> DataFrame:
@@ -110,14 +117,18 @@ def list_pairs(lists: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose union sketch does not rule them out and whose full sets reach the similarity."""
+    """Pairs whose union sketch does not rule them out and whose full sets reach the similarity.
+
+    ``pairs`` is read several times: sketches and sets are moved only for the nodes that it names."""
+    named = lambda frame, of, x: frame.join(of.select(F.col(x).alias("node")), "node", "left_semi")
     k = F.lit(SKETCH)
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     both = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
     # Six standard deviations below the threshold; exact where a sketch is the whole set.
     likely = both >= F.floor(F.size(union) * F.lit(percent / 100 - 6 * (0.16 / SKETCH) ** 0.5))
     near = (pairs.select("a", "b").join(sketch.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
-            .join(sketch.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").where(likely).select("a", "b"))
+            .join(named(sketch, pairs, "a").select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").where(likely).select("a", "b"))
+    near = cut(pairs.sparkSession, near, "near-likely")
 
     def run(batches):
         for batch in batches:
@@ -129,7 +140,7 @@ def verify(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return (near.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
-            .join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
+            .join(named(sets, near, "a").select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
             .select("a", "b", "ha", "hb").mapInArrow(run, "a bigint, b bigint"))
 
 
@@ -155,6 +166,58 @@ def bands(sets: DataFrame) -> DataFrame:
     return sets.select("node", "hashes").mapInArrow(run, "value bigint, node bigint")
 
 
+def pivots(lists: DataFrame, info: DataFrame) -> DataFrame:
+    """(node, pivot): for each node of the lists the one with the most frequent values among all it meets there."""
+    ranked = lists.join(info.select("node", F.struct((F.col("listed") - F.col("often")).alias("rare"), F.col("node").alias("pivot")).alias("best")), "node")
+    best = ranked.groupBy("value").agg(F.min("best").alias("best"))
+    return lists.join(best, "value").groupBy("node").agg(F.min("best").alias("best")).select("node", "best.pivot")
+
+
+def differences(sets: DataFrame, of: DataFrame) -> DataFrame:
+    """(node, pivot, n, other, diff): the values that either the node or its pivot holds, and the sizes of both sets.
+    No row where they are less than half alike: then a difference is no smaller than the sets."""
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for node, pivot, mine, its in zip(*(c.to_pylist() for c in batch.columns)):
+                x, y = np.frombuffer(mine, np.int64), np.frombuffer(its, np.int64)
+                diff = np.setxor1d(x, y, assume_unique=True)
+                if 3 * len(diff) <= len(x) + len(y):
+                    rows.append((node, pivot, len(x), len(y), diff))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate([pa.int64()] * 4 + [pa.list_(pa.int64())])],
+                                             ["node", "pivot", "n", "other", "diff"])
+
+    heads = sets.join(of.select(F.col("pivot").alias("node")), "node", "left_semi")
+    return (sets.join(of, "node").join(heads.select(F.col("node").alias("pivot"), F.col("hashes").alias("its")), "pivot")
+            .select("node", "pivot", "hashes", "its").mapInArrow(run, "node bigint, pivot bigint, n bigint, other bigint, diff array<bigint>"))
+
+
+def within(spark: SparkSession, comp: DataFrame, diffs: DataFrame, percent: int) -> DataFrame:
+    """``comp`` after all links between nodes with one pivot."""
+    # 100 * both >= percent * either, with both = (nx + ny - apart) / 2 and either = (nx + ny + apart) / 2
+    alike = lambda size, apart: ((100 - percent) * size >= (100 + percent) * apart) & (apart < size)
+    comp = grow(spark, comp, diffs.where(alike(F.col("n") + F.col("other"), F.size("diff")) & (F.col("node") != F.col("pivot")))
+                .select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+
+    def links(side: DataFrame, condition: str) -> DataFrame:
+        size, apart = F.col("x.n") + F.col("y.n"), F.size("x.diff") + F.size("y.diff")
+        return (members.alias("x").join(side.alias("y"), F.expr("x.pivot = y.pivot and x.comp <> y.comp") & F.expr(condition)
+                                        & alike(size, F.abs(F.size("x.diff") - F.size("y.diff")))
+                                        & alike(size, apart - 2 * F.size(F.array_intersect("x.diff", "y.diff"))))
+                .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+
+    def placed() -> DataFrame:
+        now = diffs.join(comp, "node").select("node", "pivot", "n", "diff", "comp")
+        return cut(spark, now.join(comp.select(F.col("node").alias("pivot"), F.col("comp").alias("main")), "pivot"), "near-members")
+
+    members = placed()
+    next_ = members.where("node <> pivot").groupBy("pivot").agg(F.min(F.struct(F.size("diff").alias("apart"), "node")).alias("m")).select("m.node")
+    comp = grow(spark, comp, links(members.join(next_, "node", "left_semi"), "true"))
+    members = placed()
+    # Whoever is not with the pivot, against all the others.
+    return grow(spark, comp, links(members.where("comp <> main"), "(x.comp = x.main or x.node < y.node)"))
+
+
 def grow(spark: SparkSession, comp: DataFrame, links: DataFrame) -> DataFrame:
     """(node, comp) after ``links``: components of the old components that the links join."""
     of = lambda x: comp.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
@@ -172,12 +235,18 @@ def across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").where("ca <> cb").select("a", "b")
 
 
+def apart(pairs: DataFrame, settled: DataFrame) -> DataFrame:
+    """The pairs whose nodes do not have one pivot in ``settled(node, pivot)``."""
+    of = lambda x: settled.select(F.col("node").alias(x), F.col("pivot").alias(f"p{x}"))
+    return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("pa is null or pb is null or pa <> pb").select("a", "b")
+
+
 def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def work_off(spark: SparkSession, lists: DataFrame, comp: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``comp`` after the links within long lists: by leaders, then across components."""
+def work_off(spark: SparkSession, lists: DataFrame, comp: DataFrame, sketch: DataFrame, sets: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+    """``comp`` after the links within long lists: by leaders, then across components; pairs with one pivot are ``settled``."""
     led = tried = None
     quota = LED
     while True:
@@ -197,18 +266,19 @@ def work_off(spark: SparkSession, lists: DataFrame, comp: DataFrame, sketch: Dat
             break
         pairs = ordered(placed.alias("m").join(leaders.alias("l"), F.expr("m.value = l.value and m.comp <> l.comp"))
                         .select(F.col("m.node").alias("x"), F.col("l.node").alias("y")))
+        pairs = apart(pairs, settled)
         pairs = cut(spark, pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "near-led-pairs")
         comp = grow(spark, comp, verify(pairs, sketch, sets, percent))
         led = leaders.select("value", "node") if led is None else led.unionByName(leaders.select("value", "node"))
         tried = pairs if tried is None else tried.unionByName(pairs)
-        quota *= 4  # the first leaders join most of a family; those after them find little
+        quota *= 16  # the first leaders join most of a family; those after them find little
     if led is None:
         return comp
     # Members that never led, of components that meet in a list but are still apart.
     rest = cut(spark, placed.join(several, "value").join(led, ["value", "node"], "left_anti"), "near-rest")
     pairs = ordered(rest.alias("m").join(rest.alias("l"), F.expr("m.value = l.value and m.comp < l.comp"))
                     .select(F.col("m.node").alias("x"), F.col("l.node").alias("y"))).join(tried, ["a", "b"], "left_anti")
-    pairs = cut(spark, pairs, "near-rest-pairs")
+    pairs = cut(spark, apart(pairs, settled), "near-rest-pairs")
     return grow(spark, comp, verify(pairs, sketch, sets, percent)) if pairs.limit(1).count() else comp
 
 
@@ -224,26 +294,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = cut(spark, sketches(docs, id_col, text_col, words), "near-sketches")
-    worded = rows.where("id is not null and cls is not null")
-    reps = cut(spark, worded.groupBy("cls").agg(F.min("id").alias("rep")).withColumn("node", F.monotonically_increasing_id()), "near-reps")
-    sketch = cut(spark, worded.join(reps, "cls").where("id = rep").select("node", "rep", "cls", "n", "sketch")
-                 .dropDuplicates(["node"]), "near-nodes")
-    entries = cut(spark, sketch.select("node", F.explode(F.slice("sketch", 1, LISTED)).alias("value")), "near-entries")
-    counted = entries.join(entries.groupBy("value").count().where("count > 1"), "value")
-    counted = cut(spark, counted, "near-counted")
+    scanned = cut(spark, sketches(docs, id_col, text_col, words), "near-sketches")
+    rows = cut(spark, scanned.select("id", "cls", "n"), "near-rows")
+    worded = scanned.where("id is not null and cls is not null")
+    first_rows = worded.groupBy("cls", "id").agg(F.count(F.lit(1)).alias("times")).groupBy("cls").agg(F.min(F.struct("id", "times")).alias("m"))
+    reps = cut(spark, first_rows.select("cls", F.col("m.id").alias("rep"), "m.times").withColumn("node", F.monotonically_increasing_id()), "near-reps")
+    sketch = worded.join(reps, "cls").where("id = rep").select("node", "rep", "cls", "times", "n", "sketch")
+    sketch = cut(spark, sketch.where("times = 1").unionByName(sketch.where("times > 1").dropDuplicates(["node"])), "near-nodes")
+    release(spark, "near-sketches")
+    entries = sketch.select("node", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
+    counted = cut(spark, entries.join(entries.groupBy("value").count().where("count > 1"), "value"), "near-counted")
     often = counted.where(F.col("count") > LONG).groupBy("node").agg(F.count(F.lit(1)).alias("often"))
     info = cut(spark, sketch.join(often, "node", "left").select(
-        "node", "rep", "cls", "n", F.coalesce("often", F.lit(0)).alias("often"), F.least("n", F.lit(LISTED)).alias("listed")), "near-info")
+        "node", "rep", "cls", "times", "n", F.coalesce("often", F.lit(0)).alias("often"), F.least("n", F.lit(LISTED)).alias("listed")), "near-info")
     side = lambda x: info.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("often").alias(f"often{x}"))
     pairs = (list_pairs(counted.where(F.col("count") <= LONG)).join(side("a"), "a").join(side("b"), "b")
              .where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
                     & (3 * (F.col("shared") + F.least("oftena", "oftenb")) >= F.least(F.greatest("na", "nb"), F.lit(LISTED))))
              .select("a", "b"))
     pairs = cut(spark, pairs, "near-pairs")
+    release(spark, "near-counted")
     hot = cut(spark, info.where("often * 3 >= listed").select("node"), "near-hot")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(hot).distinct()
-    sets = cut(spark, full_sets(docs, info.join(nodes, "node").select("node", "rep", "cls"), id_col, text_col, words), "near-sets")
+    needed = cut(spark, info.join(nodes, "node").select("node", "rep", "cls", "times"), "near-needed")
+    sketch = cut(spark, sketch.join(needed, "node", "left_semi").select("node", "sketch"), "near-needed-sketches")
+    release(spark, "near-nodes")
+    sets = cut(spark, full_sets(docs, needed, id_col, text_col, words), "near-sets")
     # First each node with its least partner, then whatever pairs still lie in two components.
     first = cut(spark, pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "near-first")
     comp = connected_components(spark, verify(first, sketch, sets, percent)).select(F.col("id").alias("node"), F.col("component").alias("comp"))
@@ -254,10 +330,14 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, words: int, pe
         banded = cut(spark, bands(sets.join(hot, "node")), "near-bands")
         sizes = cut(spark, banded.groupBy("value").count().where("count > 1"), "near-band-sizes")
         banded = cut(spark, banded.join(sizes, "value"), "near-band-lists")
-        more = more.union(list_pairs(banded.where(F.col("count") <= LONG)).select("a", "b").join(first, ["a", "b"], "left_anti")).distinct()
-    comp = grow(spark, comp, verify(across(more, comp), sketch, sets, percent))
+        release(spark, "near-bands", "near-band-sizes")
+        diffs = cut(spark, differences(sets, cut(spark, pivots(banded.select("value", "node"), info), "near-pivots")), "near-differences")
+        settled = diffs.select("node", "pivot")
+        comp = within(spark, comp, diffs, percent)
+        more = apart(more.union(list_pairs(banded.where(F.col("count") <= LONG)).select("a", "b").join(first, ["a", "b"], "left_anti")).distinct(), settled)
+    comp = grow(spark, comp, verify(cut(spark, across(more, comp), "near-across"), sketch, sets, percent))
     if some_hot:
-        comp = work_off(spark, banded.where(F.col("count") > LONG).select("value", "node"), comp, sketch, sets, percent)
+        comp = work_off(spark, banded.where(F.col("count") > LONG).select("value", "node"), comp, sketch, sets, settled, percent)
     # From nodes to ids; an id with several texts joins their classes.
     named = cut(spark, comp.join(info.select("node", "rep"), "node"), "near-named")
     top = named.groupBy("comp").agg(F.min("rep").alias("top"))

@@ -455,6 +455,30 @@ def test_near_duplicates_long_lists(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == components_brute(texts, 4)
 
 
+def test_near_duplicates_of_one_family_are_settled_by_their_pivot(spark, monkeypatch):
+    """Near copies of one text, most below the threshold to most others: few pairs of whole sets are compared."""
+    monkeypatch.setattr(near_dedup, "LONG", 6)
+    rng = random.Random(9)
+    base = [f"v{rng.randrange(9000)}" for _ in range(90)]
+    texts = {}
+    for i in range(150):
+        w = list(base)
+        for at in rng.sample(range(90), rng.choice([1, 1, 2, 3, 4, 6])):
+            w[at] = f"m{rng.randrange(9000)}"
+        texts[i] = " ".join(w)
+    seen, verify = [], near_dedup.verify
+
+    def counted(pairs, sketch, sets, percent):
+        seen.append(pairs.count())
+        return verify(pairs, sketch, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "verify", counted)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = near_dedup.near_duplicates(df, words=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == components_brute(texts, 4)
+    assert sum(seen) < 10 * len(texts)
+
+
 def test_near_duplicates_repeated_and_null_ids(spark):
     rows = near_dedup.near_duplicates(docs_of(spark, ["a b c d e f", "a b c d e f", "x y z u v w", "q r s t p o", "x y z u v w"], ids=[7, 3, 3, None, 9])).collect()
     assert sorted((r.doc_id, r.component_id, r.kept) for r in rows if r.doc_id is not None) == [(3, 3, True), (3, 3, True), (7, 3, False), (9, 3, False)]
