@@ -1,10 +1,10 @@
 """Near-duplicate documents by bottom-k sketches of one hash function.
 
 Texts are classed by their exact word sequence, so copies cost one row each; one document
-stands for its class.  Of every representative's shingle hashes the ``SKETCH`` smallest
-are kept.  Inverted lists of the ``LISTED`` smallest give the pairs that share values; the number of
-shared values, the sizes and the estimate from the union of both sketches filter them; the
-exact Jaccard similarity of the full sets confirms.
+stands for its class.  Inverted lists of every representative's ``LISTED`` smallest shingle hashes
+give the pairs that share values, filtered by the number of shared values and the sizes.  Only texts
+that such a pair names are read again, for their sets; the estimate from the union of both sketches of
+the ``SKETCH`` smallest values filters on, and the exact Jaccard similarity of the full sets confirms.
 
 A list longer than ``LONG`` (a passage many documents share, a large family of copies) emits no
 pairs of its own.  A pair that such lists alone connect has frequent values among at least a
@@ -13,8 +13,8 @@ hash, in bands.  Each takes a pivot, the most central document it shares a band
 its difference from it: the values that only one of the two holds.  Two sets differ in as many
 values as their differences from one pivot do, so pairs with one pivot are settled exactly by
 these small differences, and most are by their sizes alone: first each member with its pivot, then
-with the member next to the pivot, then what lies in two components.  Only pairs with two pivots are
-left to the bands.  A band's short list emits its pairs; a long one is worked off by leaders: the
+with the member next to the pivot, then what lies in two components.  Only pairs with two pivots and
+in two components are left to the bands.  A band's short list emits those; a long one is worked off by leaders: the
 first members of its ``LED`` first components are compared with all members of other
 components, components grow, and so on with sixteen times as many, until all have led or so few
 members are left that each can be compared.  So work is in proportion to the members, not to their pairs, for the
@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from eventlake.llm.common import bounded_batches, connected_components, cut, release, table, temporary
+from eventlake.llm.common import bounded_batches, connected_components, cut, release, sifted, table, temporary
 
 WORDS, PERCENT = 5, 80
 SKETCH, LISTED, LONG = 64, 24, 64
@@ -70,7 +70,7 @@ def class_key(words: list[bytes]) -> bytes | None:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, cls, n, sketch) per row; cls is null without words."""
+    """(id, cls, n, least) per row: the ``LISTED`` smallest hashes; cls is null without words."""
     def run(batches):
         for batch in batches:
             keys, counts, kept = [], [], []
@@ -79,31 +79,33 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
                 hashes = shingle_hashes(words, size)
                 keys.append(class_key(words))
                 counts.append(len(hashes))
-                kept.append(hashes[:SKETCH])
+                kept.append(hashes[:LISTED])
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int32)
             values = np.concatenate(kept) if kept else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()),
-                                              pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["id", "cls", "n", "sketch"])
+                                              pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["id", "cls", "n", "least"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "id bigint, cls binary, n bigint, sketch array<bigint>")
+    return picked.mapInArrow(run, "id bigint, cls binary, n bigint, least array<bigint>")
 
 
 def full_sets(docs: DataFrame, needed: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(node, hashes) of the representatives in ``needed(node, rep, cls, times)``; only those whose row is
-    there several times are dealt out to be made one."""
+    """(node, hot, sketch, hashes) of the representatives in ``needed(node, rep, cls, times, hot)``; only those whose
+    row is there several times are dealt out to be made one."""
     def run(batches):
         for batch in batches:
             rows = []
-            for node, cls, raw in zip(*(c.to_pylist() for c in batch.columns)):
+            for node, cls, hot, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 words = text_words(raw)
                 if class_key(words) == cls:
-                    rows.append((node, shingle_hashes(words, size).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
-                                             ["node", "hashes"])
+                    hashes = shingle_hashes(words, size)
+                    rows.append((node, hot, hashes[:SKETCH], hashes.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.binary()))],
+                                             ["node", "hot", "sketch", "hashes"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    sets = lambda some: texts.join(some, "rep").select("node", "cls", "text").mapInArrow(run, "node bigint, hashes binary")
+    sets = lambda some: (texts.join(some, "rep").select("node", "cls", "hot", "text")
+                         .mapInArrow(run, "node bigint, hot boolean, sketch array<bigint>, hashes binary"))
     return sets(needed.where("times = 1")).unionByName(sets(needed.where("times > 1")).dropDuplicates(["node"]))
 
 
@@ -116,6 +118,18 @@ def list_pairs(lists: DataFrame) -> DataFrame:
             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")))
 
 
+def open_pairs(lists: DataFrame) -> DataFrame:
+    """(a, b): pairs of nodes of one list of ``lists(value, node, comp, pivot)`` that lie in two components and have not one pivot."""
+    members = F.sort_array(F.collect_list(F.struct("node", "comp", "pivot")))
+
+    def others(x, i):
+        apart_ = F.filter(F.slice("m", i + 2, F.size("m")), lambda y: (y.comp != x.comp) & ~F.coalesce(y.pivot == x.pivot, F.lit(False)))
+        return F.struct(x.node.alias("a"), F.transform(apart_, lambda y: y.node).alias("bs"))
+
+    return (lists.groupBy("value").agg(members.alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+            .select(F.explode(F.transform("m", others)).alias("p")).select("p.a", F.explode("p.bs").alias("b")).distinct())
+
+
 def verify(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose union sketch does not rule them out and whose full sets reach the similarity.
 
@@ -247,6 +261,8 @@ def ordered(pairs: DataFrame) -> DataFrame:
 
 def work_off(spark: SparkSession, lists: DataFrame, comp: DataFrame, sketch: DataFrame, sets: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
     """``comp`` after the links within long lists: by leaders, then across components; pairs with one pivot are ``settled``."""
+    lists = cut(spark, lists.join(settled, "node", "left"), "near-long-lists")
+    two = "m.value = l.value and not (m.pivot <=> l.pivot and m.pivot is not null)"
     led = tried = None
     quota = LED
     while True:
@@ -256,17 +272,16 @@ def work_off(spark: SparkSession, lists: DataFrame, comp: DataFrame, sketch: Dat
         if led is not None:
             done = led.join(placed, ["value", "node"]).select("value", "comp").distinct()
             open_ = open_.join(done, ["value", "comp"], "left_anti")
-        first = open_.groupBy("value", "comp").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("members"))
+        first = open_.groupBy("value", "comp").agg(F.min(F.struct("node", "pivot")).alias("m"), F.count(F.lit(1)).alias("members")).select("value", "comp", "m.*", "members")
         by = Window.partitionBy("value")
         first = first.withColumn("rank", F.row_number().over(by.orderBy("node"))).withColumn("left", F.sum("members").over(by))
         few = first.where(F.col("left") <= LONG).select("value", "comp")
-        leaders = cut(spark, first.where((F.col("left") > LONG) & (F.col("rank") <= quota)).select("value", "node", "comp")
-                      .unionByName(open_.join(few, ["value", "comp"]).select("value", "node", "comp")), "near-leaders")
+        leaders = cut(spark, first.where((F.col("left") > LONG) & (F.col("rank") <= quota)).select("value", "node", "comp", "pivot")
+                      .unionByName(open_.join(few, ["value", "comp"]).select("value", "node", "comp", "pivot")), "near-leaders")
         if not leaders.limit(1).count():
             break
-        pairs = ordered(placed.alias("m").join(leaders.alias("l"), F.expr("m.value = l.value and m.comp <> l.comp"))
+        pairs = ordered(placed.alias("m").join(leaders.alias("l"), F.expr(f"{two} and m.comp <> l.comp"))
                         .select(F.col("m.node").alias("x"), F.col("l.node").alias("y")))
-        pairs = apart(pairs, settled)
         pairs = cut(spark, pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "near-led-pairs")
         comp = grow(spark, comp, verify(pairs, sketch, sets, percent))
         led = leaders.select("value", "node") if led is None else led.unionByName(leaders.select("value", "node"))
@@ -276,9 +291,9 @@ def work_off(spark: SparkSession, lists: DataFrame, comp: DataFrame, sketch: Dat
         return comp
     # Members that never led, of components that meet in a list but are still apart.
     rest = cut(spark, placed.join(several, "value").join(led, ["value", "node"], "left_anti"), "near-rest")
-    pairs = ordered(rest.alias("m").join(rest.alias("l"), F.expr("m.value = l.value and m.comp < l.comp"))
+    pairs = ordered(rest.alias("m").join(rest.alias("l"), F.expr(f"{two} and m.comp < l.comp"))
                     .select(F.col("m.node").alias("x"), F.col("l.node").alias("y"))).join(tried, ["a", "b"], "left_anti")
-    pairs = cut(spark, apart(pairs, settled), "near-rest-pairs")
+    pairs = cut(spark, pairs, "near-rest-pairs")
     return grow(spark, comp, verify(pairs, sketch, sets, percent)) if pairs.limit(1).count() else comp
 
 
@@ -299,13 +314,13 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, words: int, pe
     worded = scanned.where("id is not null and cls is not null")
     first_rows = worded.groupBy("cls", "id").agg(F.count(F.lit(1)).alias("times")).groupBy("cls").agg(F.min(F.struct("id", "times")).alias("m"))
     reps = cut(spark, first_rows.select("cls", F.col("m.id").alias("rep"), "m.times").withColumn("node", F.monotonically_increasing_id()), "near-reps")
-    sketch = worded.join(reps, "cls").where("id = rep").select("node", "rep", "cls", "times", "n", "sketch")
-    sketch = cut(spark, sketch.where("times = 1").unionByName(sketch.where("times > 1").dropDuplicates(["node"])), "near-nodes")
+    least = worded.join(reps, "cls").where("id = rep").select("node", "rep", "cls", "times", "n", "least")
+    least = cut(spark, least.where("times = 1").unionByName(least.where("times > 1").dropDuplicates(["node"])), "near-nodes")
     release(spark, "near-sketches")
-    entries = sketch.select("node", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
+    entries = least.select("node", F.explode("least").alias("value"))
     counted = cut(spark, entries.join(entries.groupBy("value").count().where("count > 1"), "value"), "near-counted")
     often = counted.where(F.col("count") > LONG).groupBy("node").agg(F.count(F.lit(1)).alias("often"))
-    info = cut(spark, sketch.join(often, "node", "left").select(
+    info = cut(spark, least.join(often, "node", "left").select(
         "node", "rep", "cls", "times", "n", F.coalesce("often", F.lit(0)).alias("often"), F.least("n", F.lit(LISTED)).alias("listed")), "near-info")
     side = lambda x: info.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("often").alias(f"often{x}"))
     pairs = (list_pairs(counted.where(F.col("count") <= LONG)).join(side("a"), "a").join(side("b"), "b")
@@ -313,29 +328,32 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, words: int, pe
                     & (3 * (F.col("shared") + F.least("oftena", "oftenb")) >= F.least(F.greatest("na", "nb"), F.lit(LISTED))))
              .select("a", "b"))
     pairs = cut(spark, pairs, "near-pairs")
-    release(spark, "near-counted")
-    hot = cut(spark, info.where("often * 3 >= listed").select("node"), "near-hot")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(hot).distinct()
-    needed = cut(spark, info.join(nodes, "node").select("node", "rep", "cls", "times"), "near-needed")
-    sketch = cut(spark, sketch.join(needed, "node", "left_semi").select("node", "sketch"), "near-needed-sketches")
-    release(spark, "near-nodes")
-    sets = cut(spark, full_sets(docs, needed, id_col, text_col, words), "near-sets")
+    release(spark, "near-counted", "near-nodes")
+    hot = F.col("often") * 3 >= F.col("listed")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(info.where(hot).select("node")).distinct()
+    needed = cut(spark, info.join(nodes, "node").select("node", "rep", "cls", "times", hot.alias("hot")), "near-needed")
+    with sifted(spark):  # few of the texts are needed
+        sets = cut(spark, full_sets(docs, needed, id_col, text_col, words), "near-sets")
+    sketch = sets.select("node", "sketch")
     # First each node with its least partner, then whatever pairs still lie in two components.
     first = cut(spark, pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "near-first")
     comp = connected_components(spark, verify(first, sketch, sets, percent)).select(F.col("id").alias("node"), F.col("component").alias("comp"))
     comp = cut(spark, sets.select("node").join(comp, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "near-comp")
     more = pairs.join(first, ["a", "b"], "left_anti")
-    some_hot = hot.limit(1).count() > 0
+    some_hot = sets.where("hot").limit(1).count() > 0
     if some_hot:
-        banded = cut(spark, bands(sets.join(hot, "node")), "near-bands")
+        banded = cut(spark, bands(sets.where("hot")), "near-bands")
         sizes = cut(spark, banded.groupBy("value").count().where("count > 1"), "near-band-sizes")
         banded = cut(spark, banded.join(sizes, "value"), "near-band-lists")
         release(spark, "near-bands", "near-band-sizes")
         diffs = cut(spark, differences(sets, cut(spark, pivots(banded.select("value", "node"), info), "near-pivots")), "near-differences")
         settled = diffs.select("node", "pivot")
         comp = within(spark, comp, diffs, percent)
-        more = apart(more.union(list_pairs(banded.where(F.col("count") <= LONG)).select("a", "b").join(first, ["a", "b"], "left_anti")).distinct(), settled)
-    comp = grow(spark, comp, verify(cut(spark, across(more, comp), "near-across"), sketch, sets, percent))
+        short = banded.where(F.col("count") <= LONG).select("value", "node").join(comp, "node").join(settled, "node", "left")
+        more = apart(across(more, comp), settled).union(open_pairs(short).join(first, ["a", "b"], "left_anti")).distinct()
+    else:
+        more = across(more, comp)
+    comp = grow(spark, comp, verify(cut(spark, more, "near-across"), sketch, sets, percent))
     if some_hot:
         comp = work_off(spark, banded.where(F.col("count") > LONG).select("value", "node"), comp, sketch, sets, settled, percent)
     # From nodes to ids; an id with several texts joins their classes.

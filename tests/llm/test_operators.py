@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventlake.llm import mixing, near_dedup, packing, passages, pii, quality_classifier, quality_rules, secrets, vector_search, warc
-from eventlake.llm.common import connected_components
+from eventlake.llm.common import SIFT, connected_components
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long, kept string, score string, row string"
@@ -479,6 +479,44 @@ def test_near_duplicates_of_one_family_are_settled_by_their_pivot(spark, monkeyp
     assert sum(seen) < 10 * len(texts)
 
 
+def test_short_band_lists_make_only_pairs_that_are_open(spark, monkeypatch):
+    """A family whose bands are short lists: nearly all of its pairs have one pivot and one component, and are never made."""
+    monkeypatch.setattr(near_dedup, "LONG", 6)
+    rng = random.Random(11)
+    base = [f"v{rng.randrange(9000)}" for _ in range(90)]
+    texts = {}
+    for i in range(60):
+        w = list(base)
+        for at in rng.sample(range(90), rng.choice([1, 1, 2, 3, 4])):
+            w[at] = f"m{rng.randrange(9000)}"
+        texts[i] = " ".join(w)
+    seen, apart = [], near_dedup.apart
+
+    def counted(pairs, settled):
+        seen.append(pairs.count())
+        return apart(pairs, settled)
+
+    def long_lists_are_short(sets):
+        monkeypatch.setattr(near_dedup, "LONG", 64)
+        return bands(sets)
+
+    bands = near_dedup.bands
+    monkeypatch.setattr(near_dedup, "apart", counted)
+    monkeypatch.setattr(near_dedup, "bands", long_lists_are_short)
+    settings = [spark.conf.get(key, None) for key in SIFT]
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = near_dedup.near_duplicates(df, words=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == components_brute(texts, 4)
+    assert sum(seen) < 2 * len(texts)
+    assert [spark.conf.get(key, None) for key in SIFT] == settings
+
+
+def test_open_pairs_of_a_list(spark):
+    rows = [(1, 10, 1, 5), (1, 11, 2, 5), (1, 12, 3, None), (1, 13, 3, None), (1, 14, 4, 6), (2, 20, 7, None), (2, 21, 7, 8)]
+    pairs = near_dedup.open_pairs(spark.createDataFrame(rows, "value long, node long, comp long, pivot long"))
+    assert sorted(map(tuple, pairs.collect())) == [(10, 12), (10, 13), (10, 14), (11, 12), (11, 13), (11, 14), (12, 14), (13, 14)]
+
+
 def test_near_duplicates_repeated_and_null_ids(spark):
     rows = near_dedup.near_duplicates(docs_of(spark, ["a b c d e f", "a b c d e f", "x y z u v w", "q r s t p o", "x y z u v w"], ids=[7, 3, 3, None, 9])).collect()
     assert sorted((r.doc_id, r.component_id, r.kept) for r in rows if r.doc_id is not None) == [(3, 3, True), (3, 3, True), (7, 3, False), (9, 3, False)]
