@@ -265,6 +265,34 @@ def test_list_pairs_of_long_lists():
     assert len(a) < 6 * 100
 
 
+def test_passages_of_seeds_in_many_texts(spark, monkeypatch):
+    """Two texts share an edited passage whose every seed also stands in 40 smaller or larger texts: lists longer than 32, also in blocks."""
+    make = made(35)
+    p = make(60)
+    texts = [make(30) + p + make(30), make(9) + evenly_edited(p, 6) + make(60)]
+    for at in range(0, 57, 3):
+        texts += [make(30) + p[at:at + 6] + make(30) for _ in range(40)]
+    found = []
+    for block in (passages.BLOCK, 8):
+        monkeypatch.setattr(passages, "BLOCK", block)
+        found.append(sorted(passage_rows(spark, texts)))
+    assert {frozenset((r[0], r[3])) for r in found[0]} == {frozenset((0, 1))} and found[0] == found[1]
+
+
+def test_blocks_hold_the_whole_list():
+    rng = np.random.default_rng(3)
+    seeds = np.zeros(400, passages.PLACE)
+    seeds["hash"], seeds["node"], seeds["run"] = np.repeat([1, 2], 200), np.tile(np.sort(rng.integers(0, 60, 200)), 2), rng.integers(0, 4, 400)
+    seeds["at"] = np.arange(400)
+    whole = passages.listed(seeds, None, 1024)
+    assert [r[3] for r in whole] == ["whole"] and np.array_equal(np.frombuffer(whole[0][4], passages.PLACE), seeds)
+    blocks = [r for r in passages.listed(seeds, None, 16) if r[3] == "block"]
+    parts = [np.frombuffer(r[4], passages.PLACE) for r in blocks]
+    assert np.array_equal(np.concatenate(parts), seeds) and len(blocks) > 8
+    for n, part in enumerate(parts[1:]):
+        assert part["hash"][0] != parts[n]["hash"][-1] or part["node"][0] != parts[n]["node"][-1]
+
+
 def test_passages_repeated_in_one_text(spark):
     make = made(34)
     p, once, line = make(60), make(60), make(10)
