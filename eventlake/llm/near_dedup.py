@@ -180,11 +180,25 @@ def bands(sets: DataFrame) -> DataFrame:
     return sets.select("node", "hashes").mapInArrow(run, "value bigint, node bigint")
 
 
-def pivots(lists: DataFrame, info: DataFrame) -> DataFrame:
-    """(node, pivot): for each node of the lists the one with the most frequent values among all it meets there."""
-    ranked = lists.join(info.select("node", F.struct((F.col("listed") - F.col("often")).alias("rare"), F.col("node").alias("pivot")).alias("best")), "node")
-    best = ranked.groupBy("value").agg(F.min("best").alias("best"))
-    return lists.join(best, "value").groupBy("node").agg(F.min("best").alias("best")).select("node", "best.pivot")
+def spread(members: DataFrame) -> DataFrame:
+    """``members(node, lists, ...)`` with a row, and (value, count), for each of a node's lists."""
+    return members.withColumn("l", F.explode("lists")).select("l.value", "l.count", *(c for c in members.columns if c != "lists"))
+
+
+def pivots(banded: DataFrame, info: DataFrame) -> DataFrame:
+    """(node, pivot): for each node of ``banded(node, lists)`` the one with the most frequent values among all it meets there."""
+    ranked = banded.join(info.select("node", F.struct((F.col("listed") - F.col("often")).alias("rare"), F.col("node").alias("pivot")).alias("best")), "node")
+    best = spread(ranked).groupBy("value").agg(F.min("best").alias("best"))
+    return spread(banded).join(best, "value").groupBy("node").agg(F.min("best").alias("best")).select("node", "best.pivot")
+
+
+def open_lists(placed: DataFrame) -> DataFrame:
+    """The rows of ``placed(value, node, comp, pivot, ...)`` in lists with two components that do not have one pivot.
+
+    Components only grow, so a list that is dropped has nothing left to find."""
+    of = placed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("pivot").alias("first"), F.max("pivot").alias("last"),
+                                     F.count("pivot").alias("settled"), F.count(F.lit(1)).alias("members"))
+    return placed.join(of.where("lo < hi and (settled < members or first < last)").select("value"), "value")
 
 
 def differences(sets: DataFrame, of: DataFrame) -> DataFrame:
@@ -259,16 +273,17 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def work_off(spark: SparkSession, lists: DataFrame, comp: DataFrame, sketch: DataFrame, sets: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
-    """``comp`` after the links within long lists: by leaders, then across components; pairs with one pivot are ``settled``."""
-    lists = cut(spark, lists.join(settled, "node", "left"), "near-long-lists")
+def work_off(spark: SparkSession, lists: DataFrame, comp: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``comp`` after the links within long ``lists(value, node, pivot)``: by leaders, then across components; pairs with one pivot are settled."""
     two = "m.value = l.value and not (m.pivot <=> l.pivot and m.pivot is not null)"
     led = tried = None
     quota = LED
     while True:
         placed = cut(spark, lists.join(comp, "node"), "near-placed")
-        several = placed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
-        open_ = placed.join(several, "value")
+        placed = cut(spark, open_lists(placed), "near-open-lists")
+        release(spark, "near-placed")
+        lists = placed.drop("comp")
+        open_ = placed
         if led is not None:
             done = led.join(placed, ["value", "node"]).select("value", "comp").distinct()
             open_ = open_.join(done, ["value", "comp"], "left_anti")
@@ -290,7 +305,7 @@ def work_off(spark: SparkSession, lists: DataFrame, comp: DataFrame, sketch: Dat
     if led is None:
         return comp
     # Members that never led, of components that meet in a list but are still apart.
-    rest = cut(spark, placed.join(several, "value").join(led, ["value", "node"], "left_anti"), "near-rest")
+    rest = cut(spark, placed.join(led, ["value", "node"], "left_anti"), "near-rest")
     pairs = ordered(rest.alias("m").join(rest.alias("l"), F.expr(f"{two} and m.comp < l.comp"))
                     .select(F.col("m.node").alias("x"), F.col("l.node").alias("y"))).join(tried, ["a", "b"], "left_anti")
     pairs = cut(spark, pairs, "near-rest-pairs")
@@ -344,18 +359,21 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, words: int, pe
     if some_hot:
         banded = cut(spark, bands(sets.where("hot")), "near-bands")
         sizes = cut(spark, banded.groupBy("value").count().where("count > 1"), "near-band-sizes")
-        banded = cut(spark, banded.join(sizes, "value"), "near-band-lists")
+        # One row per node: joins by node are as many as the nodes, not as their places in lists.
+        banded = cut(spark, banded.join(sizes, "value").groupBy("node").agg(F.collect_list(F.struct("value", "count")).alias("lists")), "near-band-lists")
         release(spark, "near-bands", "near-band-sizes")
-        diffs = cut(spark, differences(sets, cut(spark, pivots(banded.select("value", "node"), info), "near-pivots")), "near-differences")
+        diffs = cut(spark, differences(sets, cut(spark, pivots(banded, info), "near-pivots")), "near-differences")
         settled = diffs.select("node", "pivot")
         comp = within(spark, comp, diffs, percent)
-        short = banded.where(F.col("count") <= LONG).select("value", "node").join(comp, "node").join(settled, "node", "left")
-        more = apart(across(more, comp), settled).union(open_pairs(short).join(first, ["a", "b"], "left_anti")).distinct()
+        members = cut(spark, banded.join(comp, "node").join(settled, "node", "left"), "near-band-members")
+        lists = cut(spark, open_lists(spread(members)), "near-open")
+        release(spark, "near-band-lists", "near-band-members")
+        more = apart(across(more, comp), settled).union(open_pairs(lists.where(F.col("count") <= LONG)).join(first, ["a", "b"], "left_anti")).distinct()
     else:
         more = across(more, comp)
     comp = grow(spark, comp, verify(cut(spark, more, "near-across"), sketch, sets, percent))
     if some_hot:
-        comp = work_off(spark, banded.where(F.col("count") > LONG).select("value", "node"), comp, sketch, sets, settled, percent)
+        comp = work_off(spark, lists.where(F.col("count") > LONG).select("value", "node", "pivot"), comp, sketch, sets, percent)
     # From nodes to ids; an id with several texts joins their classes.
     named = cut(spark, comp.join(info.select("node", "rep"), "node"), "near-named")
     top = named.groupBy("comp").agg(F.min("rep").alias("top"))
