@@ -10,7 +10,8 @@ A list longer than ``LONG`` (a passage many documents share, a large family of c
 pairs of its own.  A pair that such lists alone connect has frequent values among at least a
 third of either sketch; those documents alone are ranked again by re-mixed values of the same
 hash, in bands.  Each takes a pivot, the most central document it shares a band with, and keeps
-its difference from it: the values that only one of the two holds.  Two sets differ in as many
+its difference from it: the values that only one of the two holds; those with open pairs move on to the
+best pivot that their bands know, so that a family comes to have one.  Two sets differ in as many
 values as their differences from one pivot do, so pairs with one pivot are settled exactly by
 these small differences, and most are by their sizes alone: first each member with its pivot, then
 with the member next to the pivot, then what lies in two components.  Only pairs with two pivots and
@@ -42,6 +43,8 @@ from eventlake.llm.common import bounded_batches, connected_components, cut, rel
 WORDS, PERCENT = 5, 80
 SKETCH, LISTED, LONG = 64, 24, 64
 BANDS, BAND_VALUES, LED = 88, 8, 4
+#: Times that nodes of open lists may take a better pivot.
+MOVES = 2
 
 
 def text_words(raw: bytes | None) -> list[bytes]:
@@ -185,11 +188,10 @@ def spread(members: DataFrame) -> DataFrame:
     return members.withColumn("l", F.explode("lists")).select("l.value", "l.count", *(c for c in members.columns if c != "lists"))
 
 
-def pivots(banded: DataFrame, info: DataFrame) -> DataFrame:
-    """(node, pivot): for each node of ``banded(node, lists)`` the one with the most frequent values among all it meets there."""
-    ranked = banded.join(info.select("node", F.struct((F.col("listed") - F.col("often")).alias("rare"), F.col("node").alias("pivot")).alias("best")), "node")
-    best = spread(ranked).groupBy("value").agg(F.min("best").alias("best"))
-    return spread(banded).join(best, "value").groupBy("node").agg(F.min("best").alias("best")).select("node", "best.pivot")
+def pivots(lists: DataFrame) -> DataFrame:
+    """(node, pivot): for each node of ``lists(value, node, best)`` the least ``best``, (rare, pivot), of all that it meets there."""
+    best = lists.groupBy("value").agg(F.min("best").alias("best"))
+    return lists.select("value", "node").join(best, "value").groupBy("node").agg(F.min("best").alias("best")).select("node", "best.pivot")
 
 
 def open_lists(placed: DataFrame) -> DataFrame:
@@ -362,12 +364,26 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, words: int, pe
         # One row per node: joins by node are as many as the nodes, not as their places in lists.
         banded = cut(spark, banded.join(sizes, "value").groupBy("node").agg(F.collect_list(F.struct("value", "count")).alias("lists")), "near-band-lists")
         release(spark, "near-bands", "near-band-sizes")
-        diffs = cut(spark, differences(sets, cut(spark, pivots(banded, info), "near-pivots")), "near-differences")
-        settled = diffs.select("node", "pivot")
+        # The most frequent values make a pivot; then whoever is still open takes the best pivot that its lists know.
+        ranked = info.select("node", F.struct((F.col("listed") - F.col("often")).alias("rare"), F.col("node").alias("pivot")).alias("best"))
+        diffs = cut(spark, differences(sets, cut(spark, pivots(spread(banded.join(ranked, "node"))), "near-pivots")), "near-differences")
         comp = within(spark, comp, diffs, percent)
-        members = cut(spark, banded.join(comp, "node").join(settled, "node", "left"), "near-band-members")
-        lists = cut(spark, open_lists(spread(members)), "near-open")
-        release(spark, "near-band-lists", "near-band-members")
+        for moves in range(MOVES + 1):
+            members = banded.join(comp, "node").join(diffs.select("node", "pivot"), "node", "left").withColumn("own", F.coalesce("pivot", "node"))
+            members = cut(spark, members.join(ranked.select(F.col("node").alias("own"), "best"), "own").drop("own"), "near-band-members")
+            lists = cut(spark, open_lists(spread(members)), "near-open")
+            if moves == MOVES:
+                break
+            moved = (pivots(lists).join(diffs.select("node", F.col("pivot").alias("was")), "node", "left")
+                     .where("was is null or was <> pivot").select("node", "pivot"))
+            new = cut(spark, differences(sets, cut(spark, moved, "near-pivots")), "near-differences")
+            if not new.limit(1).count():
+                break
+            diffs = cut(spark, diffs.join(new.select("node"), "node", "left_anti").unionByName(new), "near-differences")
+            comp = within(spark, comp, diffs.join(new.select("pivot").distinct(), "pivot", "left_semi"), percent)
+            banded = cut(spark, lists.groupBy("node").agg(F.collect_list(F.struct("value", "count")).alias("lists")), "near-open-nodes")
+        settled = diffs.select("node", "pivot")
+        release(spark, "near-band-lists", "near-band-members", "near-open-nodes")
         more = apart(across(more, comp), settled).union(open_pairs(lists.where(F.col("count") <= LONG)).join(first, ["a", "b"], "left_anti")).distinct()
     else:
         more = across(more, comp)

@@ -545,6 +545,36 @@ def test_open_pairs_of_a_list(spark):
     assert sorted(map(tuple, pairs.collect())) == [(10, 12), (10, 13), (10, 14), (11, 12), (11, 13), (11, 14), (12, 14), (13, 14)]
 
 
+def test_lists_without_an_open_pair_are_dropped(spark):
+    rows = [(1, 10, 1, 5), (1, 11, 2, 5), (2, 10, 1, 5), (2, 12, 3, None), (3, 20, 7, None), (3, 21, 7, 8), (4, 10, 1, 5), (4, 14, 4, 6)]
+    left = near_dedup.open_lists(spark.createDataFrame(rows, "value long, node long, comp long, pivot long"))
+    assert sorted((r.value, r.node) for r in left.collect()) == [(2, 10), (2, 12), (4, 10), (4, 14)]
+
+
+def test_pivots_are_the_best_of_all_lists(spark):
+    rows = [(1, 10, (3, 10)), (1, 11, (1, 11)), (2, 10, (3, 10)), (2, 12, (0, 12)), (3, 13, (5, 13)), (3, 11, (1, 11))]
+    found = near_dedup.pivots(spark.createDataFrame(rows, "value long, node long, best struct<rare: long, pivot: long>"))
+    assert {tuple(r) for r in found.collect()} == {(10, 12), (11, 11), (12, 12), (13, 11)}
+
+
+def test_two_families_of_one_text_come_to_have_one_pivot(spark, monkeypatch):
+    """Copies on either side of a text: whoever is still open moves to a better pivot, and the components are those of all pairs."""
+    monkeypatch.setattr(near_dedup, "LONG", 6)
+    rng = random.Random(13)
+    base = [f"v{rng.randrange(9000)}" for _ in range(90)]
+    texts = {}
+    for i in range(120):
+        w = list(base)
+        for at in rng.sample(range(0, 60) if i % 2 else range(30, 90), rng.choice([2, 3, 4, 5])):
+            w[at] = f"m{rng.randrange(9000)}"
+        texts[i] = " ".join(w)
+    made, differences = [], near_dedup.differences
+    monkeypatch.setattr(near_dedup, "differences", lambda sets, of: (made.append({tuple(r) for r in of.select("node", "pivot").collect()}), differences(sets, of))[1])
+    rows = near_dedup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), words=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == components_brute(texts, 4)
+    assert len(made) > 1 and not made[0] & made[1]
+
+
 def test_near_duplicates_repeated_and_null_ids(spark):
     rows = near_dedup.near_duplicates(docs_of(spark, ["a b c d e f", "a b c d e f", "x y z u v w", "q r s t p o", "x y z u v w"], ids=[7, 3, 3, None, 9])).collect()
     assert sorted((r.doc_id, r.component_id, r.kept) for r in rows if r.doc_id is not None) == [(3, 3, True), (3, 3, True), (7, 3, False), (9, 3, False)]
