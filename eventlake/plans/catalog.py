@@ -702,7 +702,7 @@ def stream_ingest(spark, sf_dir):
     """T1 incremental file-stream ingest (availableNow, checkpointed), T3 URL upsert
     via foreachBatch into the keyed Silver table.  T2 archiving is configured
     (``cleanSource=archive``); Spark moves a file once a later batch commits."""
-    from eventlake.session import scratch_dir
+    from eventlake.session import drop_folder, scratch_dir
     from eventlake.streaming.ingest import start_silver_stream
     apply_defaults(spark)
     root = scratch_dir(spark, "bronze-stream")
@@ -711,6 +711,7 @@ def stream_ingest(spark, sf_dir):
     q = start_silver_stream(spark, root, base + "/events", base + "/_checkpoint",
                             archive_dir=base + "/_archive", n_buckets=16, run_date="1970-01-01")
     q.awaitTermination()
+    drop_folder(spark, root)
     return spark.read.parquet(base + "/events").select("event_url", "source", "ingest_date")
 
 

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from eventlake.operators.serve import build_documents
 from eventlake.operators.silver import dated_survivors, map_records, survivor_order
 from eventlake.sources.documents import export_key, export_rows, formats_of
-from eventlake.sinks.tables import dedupe_merge, set_merge, upsert_buckets
+from eventlake.session import staged_while
+from eventlake.sinks.tables import by_key, dedupe_merge, set_merge, upsert_buckets
 from eventlake.sources.feeds import feeds_records, path_exists
 from eventlake.sources.lines import EXPORT_SEPARATORS, LINE_OPTIONS, csv_records, facts, numbered, stripped_key, with_origin
 
@@ -51,7 +52,9 @@ def start_silver_stream(spark: SparkSession, root: str, table_path: str, checkpo
 
     def batch(df, epoch_id):
         texts = map_records(feeds_records(numbered(df)), dates=False, **options)
-        upsert_buckets(df.sparkSession, table_path, dated_survivors(texts, **options), "event_url", merge, n_buckets)
+        with staged_while(texts, "stream-rows") as texts:
+            survivors = [dated_survivors(part, **options) for part in by_key(texts, "event_url")]
+            upsert_buckets(df.sparkSession, table_path, survivors, "event_url", merge, n_buckets)
 
     return _start(line_stream(spark, root, archive_dir, max_files), batch, checkpoint, available_now)
 
