@@ -293,6 +293,27 @@ def test_blocks_hold_the_whole_list():
         assert part["hash"][0] != parts[n]["hash"][-1] or part["node"][0] != parts[n]["node"][-1]
 
 
+def test_passages_in_rounds(spark, monkeypatch):
+    """Seeds dealt out in rounds and joins made in rounds give the passages of one round, and no round makes them all."""
+    rng = random.Random(8)
+    shared = [f"s{rng.randrange(40)}" for _ in range(60)]
+    texts = [" ".join([f"w{n}_{i}" for i in range(20)] + shared + [f"v{n}_{i}" for i in range(20)]) for n in range(6)]
+    texts += [texts[0], None, "", " ".join(shared[:49])]
+    docs = docs_of(spark, texts)
+    whole = sorted(map(tuple, passages.find_passages(docs).collect()))
+    made, seed_matches = [], passages.seed_matches
+
+    def counted(*args):
+        made.append(args[-1])
+        return seed_matches(*args)
+
+    monkeypatch.setattr(passages, "seed_matches", counted)
+    for name, value in (("FLUSH", 100), ("ROUND_JOINS", 1000), ("JOIN_WORDS", 10 ** 6), ("PART_JOINS", 50)):
+        monkeypatch.setattr(passages, name, value)
+    assert sorted(map(tuple, passages.find_passages(docs).collect())) == whole and len(whole) > 15
+    assert made[0] > 1 and len(made) == made[0]
+
+
 def test_passages_repeated_in_one_text(spark):
     make = made(34)
     p, once, line = make(60), make(60), make(10)
