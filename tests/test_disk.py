@@ -1,6 +1,7 @@
 """Scratch data: shuffle files go with their action, many rows are merged in rounds, staged rows are removed."""
 
 import os
+import time
 
 from eventlake.operators.silver import survivor_order
 from eventlake.session import staged_while
@@ -41,6 +42,9 @@ def test_rounds_merge_like_one(spark, tmp_path, monkeypatch):
 def test_upsert_leaves_no_shuffle_files(spark, tmp_path):
     before = _shuffle_files(spark)
     upsert_buckets(spark, str(tmp_path / "t"), _rows(spark, 1).repartition(3), "event_url", dedupe_merge(survivor_order(), "event_url"), n_buckets=4)
+    until = time.monotonic() + 20  # block managers remove them in the background
+    while _shuffle_files(spark) > before and time.monotonic() < until:
+        time.sleep(0.2)
     assert _shuffle_files(spark) <= before
 
 
